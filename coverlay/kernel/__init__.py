@@ -53,6 +53,7 @@ FUNCTIONS = {
     "cv_within": ("Within", _BOOL),
     "cv_contains": ("Contains", _BOOL),
     "cv_touches": ("Touches", _BOOL),
+    "cv_meets_inside": ("MeetsInside", _BOOL),
     "cv_intersection": ("Intersection", _BIN),
     "cv_difference": ("Difference", _BIN),
     "cv_union": ("Union", _BIN),
