@@ -178,14 +178,18 @@ def polygonal_intersection(a, b) -> Column:
     return _call("cv_polygonal_intersection", a, b)
 
 
-def shared_length(a, b) -> Column:
-    """Length of the outline two areas have in common."""
-    return _call("cv_shared_length", a, b)
+def frontage(a, b, tolerance: float = 0.0) -> Column:
+    """Length of the outline of ``b`` that runs within ``tolerance`` of ``a``."""
+    return _call("cv_frontage", a, b, _dbl(tolerance))
 
 
-def contact_points(a, b) -> Column:
-    """Vertices of the outline two areas have in common, as an array of ``(x, y)``."""
-    return _call("cv_contact_points", a, b)
+def within_distance(a, b, distance: float) -> Column:
+    return _call("cv_within_distance", a, b, _dbl(distance))
+
+
+def contact_points(a, b, tolerance: float = 0.0) -> Column:
+    """Distinct vertices of ``a`` within ``tolerance`` of the outline of ``b``, as an array of ``(x, y)``."""
+    return _call("cv_contact_points", a, b, _dbl(tolerance))
 
 
 def nearest_point(on, to) -> Column:
@@ -209,6 +213,11 @@ def buffer(geom, distance, quadrant_segments: int = QUADRANTS) -> Column:
     return _call("cv_buffer", geom, _dbl(distance), F.lit(quadrant_segments))
 
 
+def buffer_flat(geom, distance, quadrant_segments: int = QUADRANTS) -> Column:
+    """Buffer without rounded ends, for pieces of a line made by :func:`chop`."""
+    return _call("cv_buffer_flat", geom, _dbl(distance), F.lit(quadrant_segments))
+
+
 def make_valid(geom) -> Column:
     return _call("cv_make_valid", geom)
 
@@ -251,6 +260,11 @@ def polygons(geom) -> Column:
     return _call("cv_polygons", geom)
 
 
+def chop(geom, max_segments: int = 64) -> Column:
+    """Lines as runs of at most ``max_segments``; neighbouring runs overlap by one segment."""
+    return _call("cv_chop", geom, F.lit(max_segments))
+
+
 def subdivide(geom, max_points: int = 512) -> Column:
     return _call("cv_subdivide", geom, F.lit(max_points))
 

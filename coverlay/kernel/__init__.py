@@ -58,12 +58,15 @@ FUNCTIONS = {
     "cv_difference": ("Difference", _BIN),
     "cv_union": ("Union", _BIN),
     "cv_polygonal_intersection": ("PolygonalIntersection", _BIN),
-    "cv_shared_length": ("SharedLength", _DBL),
+    "cv_frontage": ("Frontage", _DBL),
+    "cv_within_distance": ("WithinDistance", _BOOL),
     "cv_contact_points": ("ContactPoints", T.ArrayType(POINT)),
     "cv_nearest_point": ("NearestPoint", POINT),
     "cv_split": ("Split", _BINS),
     "cv_polygonize": ("Polygonize", _BINS),
     "cv_buffer": ("Buffer", _BIN),
+    "cv_buffer_flat": ("BufferFlat", _BIN),
+    "cv_chop": ("Chop", _BINS),
     "cv_make_valid": ("MakeValid", _BIN),
     "cv_simplify_dp": ("SimplifyDP", _BIN),
     "cv_simplify_vw": ("SimplifyVW", _BIN),

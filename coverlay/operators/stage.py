@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _DIR = "spark.checkpoint.dir"
 
@@ -26,3 +27,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result is written to shared storage and its plan starts from there."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def number_rows(df: DataFrame, name: str) -> DataFrame:
+    """Add a unique id and fix it by a checkpoint, so later retries of other stages see the same ids."""
+    return cut(df.withColumn(name, F.monotonically_increasing_id()).select(name, *df.columns))

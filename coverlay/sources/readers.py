@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +62,7 @@ def read_fix_points(spark: SparkSession, path: str, fmt: str = "csv") -> DataFra
 
 
 def fix_point_geometry(raw: DataFrame) -> DataFrame:
-    """Add ``geom`` and ``srid`` to rows of the fix-point schema; fails on rows that carry neither form."""
+    """Add ``geom`` and ``srid`` to rows of the fix-point schema."""
     enable(raw.sparkSession)
     ewkb = F.unhex("ewkb_hex")
     return raw.withColumn("srid", G.ewkb_srid(ewkb)).withColumn(
@@ -73,7 +73,7 @@ def fix_point_geometry(raw: DataFrame) -> DataFrame:
 _POLY = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
 
 
-def _rings(coords) -> F.Column:
+def _rings(coords) -> Column:
     return F.transform(coords, lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
 
 

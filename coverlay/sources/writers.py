@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.kernel import enable
-from coverlay.operators.grid import cell_key, with_bounds
+from coverlay.operators.grid import cell_key, cell_of, with_bounds
 
 
 def shape_columns(display: DataFrame) -> DataFrame:
@@ -42,43 +42,47 @@ def coordinates_json(nested, decimals: int = 5) -> Column:
     return arr(nested, lambda part: arr(part, lambda r: arr(r, point)))
 
 
-def geojson_features(display: DataFrame, decimals: int = 5) -> DataFrame:
+def geojson_features(display: DataFrame, decimals: int = 5, extra: list[str] = ()) -> DataFrame:
     """One GeoJSON feature per row in column ``value``: multipolygons, no box, no coordinate-system member."""
     enable(display.sparkSession)
     props = [
         "gid", "locality_pid", "locality_name", F.coalesce("postcode", F.lit("")).alias("postcode"), "state",
         "locality_class", "address_count", "street_count",
     ]
-    d = display.select(F.to_json(F.struct(*props)).alias("_p"), G.decode("geom").alias("_n"))
-    return d.select(F.concat(
+    d = display.select(*extra, F.to_json(F.struct(*props)).alias("_p"), G.decode("geom").alias("_n"))
+    return d.select(*extra, F.concat(
         F.lit('{"type":"Feature","geometry":{"type":"MultiPolygon","coordinates":'),
         coordinates_json(F.col("_n"), decimals), F.lit('},"properties":'), F.col("_p"), F.lit("}"),
     ).alias("value"))
 
 
-def write_geojson(display: DataFrame, path: str, single_file: bool = False) -> None:
-    """Newline-delimited features in parallel; ``single_file`` wraps them into one FeatureCollection document.
+def write_geojson(display: DataFrame, path: str) -> None:
+    """Newline-delimited features, written in parallel."""
+    geojson_features(display).write.mode("overwrite").option("compression", "gzip").text(path)
 
-    The single document is one text file by definition and is written by one task, streaming row by row.
-    """
-    features = geojson_features(display)
-    if not single_file:
-        features.write.mode("overwrite").option("compression", "gzip").text(path)
-        return
-    head = '{"type":"FeatureCollection","features":['
 
-    def wrap(batches):
-        import pandas as pd
+def document_rows(items: DataFrame, order: str, head: str, tail: str) -> DataFrame:
+    """Rows ``value`` whose text, in order, is one JSON document: ``head``, items with commas between, ``tail``.
+
+    ``items`` has a unique ``order`` column and a JSON text column ``value``. Only the smallest order value
+    passes through the driver; the rows stay range partitioned, so part files concatenated in name order
+    (``cat part-*``) are the document and no task ever sees all of it.
+    """
+    first = items.agg(F.min(order)).first()[0]
+    comma = F.when(F.col(order) == F.lit(first), F.lit("")).otherwise(F.lit(","))
+    kind = items.schema[order].dataType
+    body = items.select(F.lit(1).alias("_s"), F.col(order).alias("_o"), F.concat(comma, "value").alias("value"))
+    spark = items.sparkSession
+    edges = spark.createDataFrame([(0, head), (2, tail)], "_s int, value string")
+    edges = edges.withColumn("_o", F.lit(None).cast(kind)).select("_s", "_o", "value")
+    return body.unionByName(edges).orderBy("_s", "_o").select("value")
 
-        first = True
-        for b in batches:
-            v = b["value"].tolist()
-            if v:
-                yield pd.DataFrame({"value": [(head if first and i == 0 else ",") + s for i, s in enumerate(v)]})
-                first = False
-        yield pd.DataFrame({"value": ["]}" if not first else head + "]}"]})
 
-    features.coalesce(1).mapInPandas(wrap, "value string").write.mode("overwrite").text(path)
+def write_geojson_document(display: DataFrame, path: str, decimals: int = 5) -> None:
+    """The whole layer as one FeatureCollection, spread over ordered part files."""
+    features = geojson_features(display.select("*", F.col("gid").alias("_gid")), decimals, extra=["_gid"])
+    rows = document_rows(features, "_gid", '{"type":"FeatureCollection","features":[', "]}")
+    rows.write.mode("overwrite").text(path)
 
 
 def write_delimited(display: DataFrame, path: str) -> None:
@@ -110,17 +114,18 @@ def box_objects(df: DataFrame, key: str = "locality_pid") -> DataFrame:
 
 
 def write_boxes(df: DataFrame, path: str, key: str = "locality_pid") -> None:
-    """Box objects as JSON lines, sorted by key within range partitions."""
-    box_objects(df, key).orderBy(key).select("value").write.mode("overwrite").text(path)
+    """All box objects as one JSON array, spread over ordered part files."""
+    document_rows(box_objects(df, key), key, "[", "]").write.mode("overwrite").text(path)
 
 
-def box_arrays(df: DataFrame, by: list[str], key: str = "locality_pid") -> DataFrame:
-    """Box objects gathered into one JSON array per ``by`` group."""
+def box_arrays(df: DataFrame, tile: float, by: list[str] = (), key: str = "locality_pid") -> DataFrame:
+    """Box objects gathered into one sorted JSON array per map tile (and ``by`` columns)."""
     b = with_bounds(df.select(*by, key, "geom"))
     edge = lambda c, p: F.col(c).cast(f"decimal({p},4)")
     obj = F.struct(F.col(key).alias("id"), edge("xmin", 7).alias("l"), edge("ymin", 6).alias("b"),
                    edge("xmax", 7).alias("r"), edge("ymax", 6).alias("t"))
-    return b.groupBy(*by).agg(F.to_json(F.sort_array(F.collect_list(obj))).alias("boxes"))
+    tiled = b.withColumns({"tile_x": cell_of("xmin", tile), "tile_y": cell_of("ymin", tile)})
+    return tiled.groupBy(*by, "tile_x", "tile_y").agg(F.to_json(F.sort_array(F.collect_list(obj))).alias("boxes"))
 
 
 def write_clustered(df: DataFrame, path: str, cell: float, partitions: int | None = None) -> None:
