@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,15 @@ def _dbl(v) -> Column:
     return v if isinstance(v, Column) else F.lit(float(v))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add an expensive column so that later filters on it reuse its value.
+
+    Catalyst pushes a filter below a projection by computing the projected expression again inside the filter.
+    It does not do so below a generator, and a one-element ``explode`` is a generator.
+    """
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 # ---- constructors and codec ----
 
 

@@ -41,7 +41,8 @@ def dissolve_parts(
     ``extent = (largest box side, largest absolute coordinate)`` saves the one aggregate that measures the layer.
     """
     keys = list(keys)
-    d = df.select(*keys, F.col(geom).alias("geom")).where(F.col("geom").isNotNull())
+    # NULL and empty geometries fall out by themselves: they have no polygons to list
+    d = df.select(*keys, F.col(geom).alias("geom"))
     if extent:
         side, far = extent
         size = cell or 2.0 ** math.ceil(math.log2(side * 4))
@@ -50,7 +51,7 @@ def dissolve_parts(
         reach, size, levels = _levels(d, cell)
     b = with_bounds(d)
     mid = lambda lo, hi: (F.col(lo) + F.col(hi)) / 2
-    cur = b.where(F.col("xmin").isNotNull()).select(
+    cur = b.select(
         *keys, "geom",
         cell_of(mid("xmin", "xmax"), size).alias("_cx"), cell_of(mid("ymin", "ymax"), size).alias("_cy"),
         F.lit(None).cast("bigint").alias("_done"),

@@ -36,10 +36,10 @@ def cell_range(lo, hi, cell: float) -> Column:
 
 
 def explode_cells(df: DataFrame, cell: float, prefix: str = "", cx: str = "cx", cy: str = "cy") -> DataFrame:
-    """One row per grid cell the box touches. Rows with a NULL box have no cells."""
+    """One row per grid cell the box touches. Rows with a NULL box have no cells, so no filter is needed: one
+    would be pushed below the box and make Spark parse every geometry twice."""
     xmin, ymin, xmax, ymax = (prefix + c for c in BOX)
-    boxed = df.where(F.col(xmin).isNotNull())
-    cols = boxed.withColumn(cx, cell_range(xmin, xmax, cell))
+    cols = df.withColumn(cx, cell_range(xmin, xmax, cell))
     return cols.withColumn(cy, cell_range(ymin, ymax, cell))
 
 
@@ -133,17 +133,19 @@ def spatial_join(
     if refine_above:
         l, r, keys, size = _refine(l, r, on, cell, refine_above)
         # a corner on the clamped edge of a cell belongs to the base cell it falls in
-        here = (
-            (F.col("_cx") == cell_of(px, cell)) & (F.col("_cy") == cell_of(py, cell))
-            & (F.col("_ix") == F.floor(px / size)) & (F.col("_iy") == F.floor(py / size))
-        )
+        at = {"_cx": cell_of(px, cell), "_cy": cell_of(py, cell), "_ix": F.floor(px / size), "_iy": F.floor(py / size)}
     else:
         keys = [*on, "_cx", "_cy"]
-        here = (F.col("_cx") == cell_of(px, cell)) & (F.col("_cy") == cell_of(py, cell))
-    pairs = l.join(r, keys).where(
+        at = {"_cx": cell_of(px, cell), "_cy": cell_of(py, cell)}
+    meet = (
         (F.col("_lxmin") <= F.col("_rxmax")) & (F.col("_rxmin") <= F.col("_lxmax"))
-        & (F.col("_lymin") <= F.col("_rymax")) & (F.col("_rymin") <= F.col("_lymax")) & here
+        & (F.col("_lymin") <= F.col("_rymax")) & (F.col("_rymin") <= F.col("_lymax"))
     )
+    for key, home in at.items():
+        meet = meet & (F.col(key) == home)
+    # coalesce keeps Catalyst from inferring "box edge is not NULL" filters; those would be pushed down to the
+    # scans, where every geometry would be built and measured once more per edge
+    pairs = l.join(r, keys).where(F.coalesce(meet, F.lit(False)))
     if where is not None:
         pairs = pairs.where(where)
     if predicate is not None:

@@ -99,9 +99,9 @@ def nearest_outline(
     while True:
         left = todo.withColumn("_pt", G.point("x", "y"))
         hits = spatial_join(left, lines, None, max(cell, r), on=on, left_geom="_pt", right_geom="_outline", expand=r)
-        hits = hits.withColumn("nearest", G.nearest_point("_outline", "_pt"))
-        hits = hits.withColumn("dist", N.distance(N.xy("x", "y"), "nearest")).where(F.col("dist") <= r)
-        settled = cut(best_per_key(hits, [point_id], "dist").drop("_pt", "_outline"))
+        hits = G.once(hits, "nearest", G.nearest_point("_outline", "_pt")).drop("_pt", "_outline")
+        hits = cut(hits.withColumn("dist", N.distance(N.xy("x", "y"), "nearest")).where(F.col("dist") <= r))
+        settled = cut(best_per_key(hits, [point_id], "dist"))
         found = settled if found is None else found.unionByName(settled)
         todo = cut(todo.join(settled, point_id, "left_anti"))
         if on:

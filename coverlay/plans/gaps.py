@@ -44,7 +44,7 @@ def border_gaps(zones: DataFrame, pieces: DataFrame, cfg: CleanConfig) -> DataFr
 
 def merged_gaps(gaps: DataFrame, cfg: CleanConfig) -> DataFrame:
     """Gaps without slivers, dissolved by state: ``hole_id, state, geom``, one row per polygon."""
-    opened = gaps.select("state", G.open_close("geom", *cfg.gap_open).alias("geom")).where(~G.is_empty("geom"))
+    opened = gaps.select("state", G.open_close("geom", *cfg.gap_open).alias("geom"))
     parts = dissolve_parts(opened, ["state"])
     clean = parts.select("state", F.explode(G.polygons(G.make_valid(G.buffer("geom", 0.0)))).alias("geom"))
     return number_rows(clean, "hole_id")
@@ -84,8 +84,8 @@ def large_enough(gaps: DataFrame, cfg: CleanConfig) -> DataFrame:
     """Gaps of at least ``min_gap_area`` square metres in an equal-area projection."""
     if cfg.min_gap_area is None:
         return gaps
-    area = N.area(geodesy.albers_nested(G.decode("geom")))
-    return gaps.where(area >= F.lit(cfg.min_gap_area))
+    measured = G.once(gaps, "_area", N.area(geodesy.albers_nested(G.decode("geom"))))
+    return measured.where(F.col("_area") >= F.lit(cfg.min_gap_area)).drop("_area")
 
 
 def split_points(gaps: DataFrame, pieces: DataFrame, cfg: CleanConfig) -> DataFrame:
@@ -140,7 +140,8 @@ def frontage(a: Column, b: Column, cfg: CleanConfig) -> Column:
 def longest_frontage(split: DataFrame, pieces: DataFrame, cfg: CleanConfig) -> DataFrame:
     """The locality with the most frontage on each gap piece, if it has any; ties go to the smallest id."""
     pairs = gap_pairs(split, pieces, cfg, "split_id")
-    measured = pairs.select("split_id", "locality_pid", F.round(frontage(F.col("geom"), F.col("geom2"), cfg), 9).alias("_d"))
+    length = F.round(frontage(F.col("geom"), F.col("geom2"), cfg), 9)
+    measured = G.once(pairs, "_d", length).select("split_id", "locality_pid", "_d")
     return one_per_key(measured.where(F.col("_d") > 1e-6), ["split_id"], [-F.col("_d"), F.col("locality_pid")]).drop("_d")
 
 

@@ -42,19 +42,18 @@ def blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def localities_nested(spark: SparkSession, sf: str) -> DataFrame:
-    d = blocks(spark, sf)
-    r, j, odd, b = F.col("r"), F.col("j"), F.col("odd"), F.col("b")
-    left = F.col("ox") + 16.0 * r
-    far = odd & (r == 3)
-    off = odd & (r == 0)
-    g = when(r > 0, 0.125, 0.0)
-    x0 = F.when(j < 2, left + g).when(j == 2, left + when(far, 15.75, 8.0)).when(j == 3, left + 8.0).otherwise(
-        left + when(off, -12.0, 10.0))
-    x1 = F.when(j == 0, left + when(far, 15.75, 8.0)).when(j == 1, left + 8.0).when(
-        j == 2, left + F.when(far, 18.0).otherwise(when(r < 4, 16.125, 16.0))).when(j == 3, left + 16.0).otherwise(
-        left + when(off, -8.0, 12.0))
-    y0 = F.when(j.isin(1, 3), 8.0).when((j == 4) & ~off, 10.0).otherwise(0.0) + F.col("oy")
-    y1 = F.when(j.isin(0, 2), 8.0).when(j == 1, 16.0).when(j == 3, 15.75).otherwise(when(off, 4.0, 12.0)) + F.col("oy")
+    d = blocks(spark, sf).withColumns({
+        "left": F.col("ox") + 16.0 * F.col("r"), "far": F.col("odd") & (F.col("r") == 3), "off": F.col("odd") & (F.col("r") == 0),
+    })
+    r, j, b, left, far, off = (F.col(c) for c in ("r", "j", "b", "left", "far", "off"))
+    pick = lambda *v: F.element_at(F.array(*[F.lit(float(x)) for x in v]), j + 1)
+    g = when((j < 2) & (r > 0), 0.125, 0.0)
+    over = when((j == 2) & (r < 4), 0.125, 0.0)
+    x0 = left + F.when(off & (j == 4), -12.0).when(far & (j == 2), 15.75).otherwise(pick(0, 0, 8, 8, 10) + g)
+    x1 = left + F.when(off & (j == 4), -8.0).when(far & (j == 0), 15.75).when(far & (j == 2), 18.0).otherwise(
+        pick(8, 8, 16, 16, 12) + over)
+    y0 = F.col("oy") + when(off & (j == 4), 0.0, pick(0, 8, 0, 8, 10))
+    y1 = F.col("oy") + when(off & (j == 4), 4.0, pick(8, 16, 8, 15.75, 12))
     code = F.concat(r.cast("string"), F.lpad((b % 100).cast("string"), 2, "0"))
     postcode = (
         F.when((j == 0) & (r == 4), F.lit("NA")).when(j < 2, F.concat(F.lit("1"), code))
@@ -85,13 +84,13 @@ def boundaries(spark: SparkSession, sf: str) -> DataFrame:
 
 def areas_nested(spark: SparkSession, sf: str) -> DataFrame:
     """Census areas: five per state, the first with a hole."""
-    d = blocks(spark, sf)
-    j, off = F.col("j"), F.col("odd") & (F.col("r") == 0)
-    left, oy = F.col("ox") + 16.0 * F.col("r"), F.col("oy")
+    d = blocks(spark, sf).withColumns({"left": F.col("ox") + 16.0 * F.col("r"), "off": F.col("odd") & (F.col("r") == 0)})
+    j, off, left, oy = (F.col(c) for c in ("j", "off", "left", "oy"))
     x0 = left + F.when(j < 3, 4.0 * j).when(j == 3, 12.0).otherwise(when(off, -11.0, 14.0))
     x1 = left + F.when(j < 3, 4.0 * j + 4.0).when(j == 3, when(off, 16.0, 14.0)).otherwise(when(off, -8.0, 16.0))
     y1 = oy + when((j == 4) & off, 4.0, 16.0)
-    shell = N.box_ring(x0, oy, x1, y1)
+    d = d.withColumns({"x0": x0, "x1": x1, "y1": y1})
+    shell = N.box_ring("x0", oy, "x1", "y1")
     hole = N.box_ring(left + 1.0, oy + 1.0, left + 2.0, oy + 2.0)
     part = F.when(j == 0, F.array(shell, hole)).otherwise(F.array(shell))
     return d.select("k", "b", "r", "j", "state", F.array(part).alias("nested"))
