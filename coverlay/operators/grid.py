@@ -69,6 +69,11 @@ def suggest_cell_size(df: DataFrame, geom: str = "geom") -> float:
     return size
 
 
+def _splits() -> Column:
+    """Sub-cells per side of a cell at its level: exact powers of two."""
+    return F.expr("shiftleft(CAST(1 AS BIGINT), _lv)")
+
+
 def _refine(left: DataFrame, right: DataFrame, on: Sequence[str], cell: float, limit: int):
     """Cut hot cells into 4**level equal cells, the same on both sides, from exact per-cell counts."""
     keys = [*on, "_cx", "_cy"]
@@ -83,8 +88,7 @@ def _refine(left: DataFrame, right: DataFrame, on: Sequence[str], cell: float, l
     def spread(df: DataFrame, p: str) -> DataFrame:
         # the sub-cells of a cell are clamped to it, so every copy stays inside its own cell
         d = df.join(hot, keys, "left").withColumn("_lv", F.coalesce("_lv", F.lit(0)))
-        k = F.shiftleft(F.lit(1).cast("bigint"), F.col("_lv"))
-        size = F.lit(float(cell)) / k
+        k, size = _splits(), F.lit(float(cell)) / _splits()
 
         def axis(lo: str, hi: str, c: str) -> Column:
             first, last = F.col(c) * k, (F.col(c) + 1) * k - 1
@@ -95,7 +99,7 @@ def _refine(left: DataFrame, right: DataFrame, on: Sequence[str], cell: float, l
         d = d.withColumn("_ix", axis(p + "xmin", p + "xmax", "_cx"))
         return d.withColumn("_iy", axis(p + "ymin", p + "ymax", "_cy"))
 
-    size = F.lit(float(cell)) / F.shiftleft(F.lit(1).cast("bigint"), F.col("_lv"))
+    size = F.lit(float(cell)) / _splits()
     return spread(left, "_l"), spread(right, "_r"), [*keys, "_lv", "_ix", "_iy"], size
 
 
