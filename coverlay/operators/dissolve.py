@@ -10,27 +10,25 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlay.functions import geometry as G
 from coverlay.operators.grid import cell_of, with_bounds
+from coverlay.operators.stage import cut
 
 _FAN = 8
+#: open polygons a layer may have left for the last, un-gridded merge without another level before it
+_FEW = 2000
 
 
-def _levels(df: DataFrame, cell: float | None) -> tuple[float, float, int]:
-    """Reach of a row beyond its cell, the first cell size, and how many levels cover the layer."""
+def _extent(df: DataFrame) -> tuple[float, float]:
+    """Longest box side and largest absolute coordinate of a layer: one aggregate over the boxes."""
     b = with_bounds(df.select("geom")).agg(
         F.max(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))).alias("side"),
         F.max(F.greatest(F.abs("xmin"), F.abs("xmax"), F.abs("ymin"), F.abs("ymax"))).alias("far"),
     ).first()
-    if b is None or b["side"] is None:
-        return 0.0, 1.0, 1
-    side = b["side"] or 1e-9
-    size = cell or 2.0 ** math.ceil(math.log2(side * 4))
-    levels = 1 + max(0, math.ceil(math.log(max(1.0, 2 * b["far"] / size), _FAN)))
-    return b["side"] / 2, size, levels
+    return (b["side"] or 0.0, b["far"] or 0.0) if b else (0.0, 0.0)
 
 
 def dissolve_parts(
@@ -38,54 +36,48 @@ def dissolve_parts(
 ) -> DataFrame:
     """Union the areas of each key and return its disjoint polygons, one row per polygon: ``keys, geom``.
 
-    ``extent = (largest box side, largest absolute coordinate)`` saves the one aggregate that measures the layer.
+    ``extent = (longest box side, largest absolute coordinate)``, or bounds on them, saves the aggregate that
+    measures the layer. Every level is checkpointed: finished polygons are written once and stay put, the
+    shrinking rest goes on.
     """
     keys = list(keys)
     # NULL and empty geometries fall out by themselves: they have no polygons to list
     d = df.select(*keys, F.col(geom).alias("geom"))
-    if extent:
-        side, far = extent
-        size = cell or 2.0 ** math.ceil(math.log2(side * 4))
-        reach, levels = side / 2, 1 + max(0, math.ceil(math.log(max(1.0, 2 * far / size), _FAN)))
-    else:
-        reach, size, levels = _levels(d, cell)
-    b = with_bounds(d)
+    side, far = extent or _extent(d)
+    # a row is assigned by the middle of its box, so it reaches at most half its side beyond its cell
+    reach, size = side / 2, cell or 2.0 ** math.ceil(math.log2(max(side, 1e-9) * 4))
+    levels = 1 + max(0, math.ceil(math.log(max(1.0, 2 * far / size), _FAN)))
     mid = lambda lo, hi: (F.col(lo) + F.col(hi)) / 2
-    cur = b.select(
-        *keys, "geom",
-        cell_of(mid("xmin", "xmax"), size).alias("_cx"), cell_of(mid("ymin", "ymax"), size).alias("_cy"),
-        F.lit(None).cast("bigint").alias("_done"),
+    todo = with_bounds(d).select(
+        *keys, "geom", cell_of(mid("xmin", "xmax"), size).alias("_cx"), cell_of(mid("ymin", "ymax"), size).alias("_cy")
     )
-    for level in range(levels):
-        cur = _merge(cur, keys, size, reach)
+    found = None
+    for _ in range(levels):
+        parts = cut(_merge(todo, keys, size, reach))
+        finished = parts.where("_done").select(*keys, "geom")
+        found = finished if found is None else found.unionByName(finished)
         size *= _FAN
-        up = lambda c: F.floor(F.col(c) / F.lit(_FAN))
-        cur = cur.withColumns({"_cx": up("_cx"), "_cy": up("_cy")})
-    # four cells meet at the origin: what is still open there is merged whole
-    last = cur.withColumns({"_cx": F.lit(0).cast("bigint"), "_cy": F.lit(0).cast("bigint")})
-    return _merge(last, keys, None, reach).select(*keys, "geom")
-
-
-def _merge(cur: DataFrame, keys: list[str], size: float | None, reach: float) -> DataFrame:
-    """Union open rows per key and cell; rows already finished are groups of their own and pass through."""
-    done = F.col("_done").isNotNull()
-    zero = F.lit(0).cast("bigint")
-    cur = cur.withColumns(
-        {"_cx": F.when(done, zero).otherwise(F.col("_cx")), "_cy": F.when(done, zero).otherwise(F.col("_cy"))}
-    )
-    merged = cur.groupBy(*keys, "_cx", "_cy", "_done").agg(G.union_agg("geom").alias("geom"))
-    parts = merged.withColumn("geom", F.explode(G.polygons("geom")))
-    if size is None:
-        return parts
-    p = with_bounds(parts)
+        up = lambda c: F.floor(F.col(c) / F.lit(_FAN)).alias(c)
+        todo = parts.where("NOT _done").select(*keys, "geom", up("_cx"), up("_cy"))
+        open_rows = todo.count()
+        if not open_rows:
+            return found
+        if open_rows <= _FEW:
+            break
+    last = todo.groupBy(*keys).agg(G.union_agg("geom").alias("geom")).select(*keys, F.explode(G.polygons("geom")).alias("geom"))
+    return found.unionByName(last)
+
+
+def _merge(rows: DataFrame, keys: list[str], size: float, reach: float) -> DataFrame:
+    """Union rows per key and cell; a polygon well inside its cell, out of reach of all other cells, is done."""
+    merged = rows.groupBy(*keys, "_cx", "_cy").agg(G.union_agg("geom").alias("geom"))
+    p = with_bounds(merged.withColumn("geom", F.explode(G.polygons("geom"))))
     x0, y0 = F.col("_cx") * F.lit(size), F.col("_cy") * F.lit(size)
     m, s = F.lit(reach), F.lit(size)
-    closed = (
+    done = (
         (F.col("xmin") > x0 + m) & (F.col("xmax") < x0 + s - m) & (F.col("ymin") > y0 + m) & (F.col("ymax") < y0 + s - m)
     )
-    return p.withColumn(
-        "_done", F.coalesce("_done", F.when(closed, F.xxhash64("geom")))
-    ).drop("xmin", "ymin", "xmax", "ymax")
+    return p.select(*keys, "geom", "_cx", "_cy", done.alias("_done"))
 
 
 def dissolve(df: DataFrame, keys: Sequence[str], geom: str = "geom", **options) -> DataFrame:

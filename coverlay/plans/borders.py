@@ -44,7 +44,7 @@ def band_overlaps(bands: DataFrame, cfg: CleanConfig) -> DataFrame:
     shared = pairs.select(
         F.concat("state", F.lit("-"), "state2").alias("pair"), G.polygonal_intersection("geom", "geom2").alias("geom")
     )
-    return dissolve_parts(shared, ["pair"])
+    return dissolve_parts(cut(shared), ["pair"])
 
 
 def clip_to_layer(

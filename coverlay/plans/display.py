@@ -44,7 +44,7 @@ def display_localities(full: DataFrame, bdys: DataFrame, cfg: CleanConfig) -> Da
 
 def _filled(df: DataFrame, keys: list[str], cfg: CleanConfig) -> DataFrame:
     grown = df.select(*keys, G.make_valid(G.buffer("geom", cfg.postcode_grow)).alias("geom"))
-    return dissolve_parts(grown, keys).withColumn("geom", G.fill_holes(G.make_valid("geom")))
+    return dissolve_parts(cut(grown), keys).withColumn("geom", G.fill_holes(G.make_valid("geom")))
 
 
 def cut_out(df: DataFrame, key: str, masks: DataFrame, cfg: CleanConfig, on: list[str] = ()) -> DataFrame:

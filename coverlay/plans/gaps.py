@@ -45,7 +45,7 @@ def border_gaps(zones: DataFrame, pieces: DataFrame, cfg: CleanConfig) -> DataFr
 def merged_gaps(gaps: DataFrame, cfg: CleanConfig) -> DataFrame:
     """Gaps without slivers, dissolved by state: ``hole_id, state, geom``, one row per polygon."""
     opened = gaps.select("state", G.open_close("geom", *cfg.gap_open).alias("geom"))
-    parts = dissolve_parts(opened, ["state"])
+    parts = dissolve_parts(cut(opened), ["state"])
     clean = parts.select("state", F.explode(G.polygons(G.make_valid(G.buffer("geom", 0.0)))).alias("geom"))
     return number_rows(clean, "hole_id")
 

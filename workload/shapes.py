@@ -14,7 +14,7 @@ from coverlay.operators.lines import label_chains, chain_lines
 from coverlay.operators.simplify import simplify_coverage, thin_by_zoom
 from coverlay.sources.readers import fix_point_geometry
 from workload import layers as L
-from workload.registry import query, table
+from workload.registry import query, spread, table
 from workload.relational import BRAND_CELLS, dirty, lonlat_boxes
 
 
@@ -265,7 +265,7 @@ AMPLITUDE = 2.0 ** -12
 
 def bumpy_nested(spark, sf):
     """A 16 × 16 box per customer, a vertex at every unit, alternate ones pushed out by 1/4096."""
-    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
+    c = spread(table(spark, sf, "customer").select(F.col("c_custkey").alias("k")))
     x, y = F.lit(32.0) * (F.col("k") % 32), F.lit(32.0) * F.floor(F.col("k") / 32)
     c = c.withColumns({"x": x, "y": y})
 
