@@ -215,6 +215,11 @@ def polygonize(lines) -> Column:
     return _call("cv_polygonize", lines)
 
 
+def faces_inside(lines, geom, share: float) -> Column:
+    """Faces formed by an array of lines of which more than ``share`` lies inside ``geom``."""
+    return _call("cv_faces_inside", lines, geom, _dbl(share))
+
+
 # ---- transforms ----
 
 

@@ -64,6 +64,7 @@ FUNCTIONS = {
     "cv_nearest_point": ("NearestPoint", POINT),
     "cv_split": ("Split", _BINS),
     "cv_polygonize": ("Polygonize", _BINS),
+    "cv_faces_inside": ("FacesInside", _BINS),
     "cv_buffer": ("Buffer", _BIN),
     "cv_buffer_flat": ("BufferFlat", _BIN),
     "cv_chop": ("Chop", _BINS),

@@ -41,25 +41,26 @@ def simplify_coverage(
 
     Outlines become distinct edges, edges become chains between junctions, each chain is simplified once, and
     every feature is rebuilt from its own chains. A rebuilt face belongs to its feature when more than
-    ``overlap`` of it lies inside the original, which also leaves holes out. ``snap`` is how far a neighbour's
+    ``overlap`` of it lies inside the original, which also leaves holes out. Groups are as large as one
+    polygon's own outline, never larger. ``snap`` is how far a neighbour's
     vertex may be from an edge and still count as lying on it.
     """
     enable(df.sparkSession)
-    layer = df.select(F.col(id_col).alias("_id"), F.col(geom).alias("geom"))
-    seg = N.to_segments(layer.withColumn("_n", G.decode("geom")), "_n", ["_id"])
-    own = cut(node_edges(seg, cell, ["_id"], tolerance=snap))
-    labelled = cut(label_chains(own.drop("_id").distinct()))
+    # polygons, not features: a feature of many islands never meets all of them at once
+    layer = df.select(F.col(id_col).alias("_id"), F.posexplode(G.polygons(geom)).alias("_poly", "geom"))
+    key = ["_id", "_poly"]
+    nested = layer.select(*key, G.decode("geom").alias("_n"))
+    seg = N.to_segments(nested, "_n", key).drop("part", "ring", "seq")
+    own = cut(node_edges(seg, cell, key, tolerance=snap))
+    labelled = cut(label_chains(own.drop(*key).distinct()))
     paths = chain_lines(labelled).withColumn("original", G.line("path"))
     thin = paths.select("chain", G.simplify_topology("original", tolerance).alias("geom"), "original")
-    lines = cut(_restore_crossings(thin, cell))
+    lines = _restore_crossings(thin, cell)
     chain_of = canonical_edges(labelled, ["chain"])
-    member = own.join(chain_of, ["x1", "y1", "x2", "y2"]).select("_id", "chain").distinct()
-    faces = member.join(lines, "chain").groupBy("_id").agg(F.collect_list("geom").alias("_lines"))
-    faces = faces.select("_id", F.explode(G.polygonize("_lines")).alias("face"))
-    inside = faces.join(layer, "_id").where(
-        G.area(G.intersection("face", G.make_valid("geom"))) / G.area("face") > F.lit(overlap)
-    )
-    return inside.groupBy("_id").agg(G.collect_agg("face").alias("geom")).withColumnRenamed("_id", id_col)
+    member = own.join(chain_of, ["x1", "y1", "x2", "y2"]).select(*key, "chain").distinct()
+    outline = member.join(lines, "chain").groupBy(*key).agg(F.collect_list("geom").alias("_lines"))
+    faces = outline.join(layer, key).select("_id", F.explode(G.faces_inside("_lines", "geom", overlap)).alias("face"))
+    return faces.groupBy("_id").agg(G.collect_agg("face").alias("geom")).withColumnRenamed("_id", id_col)
 
 
 def thin_by_zoom(df: DataFrame, zooms: list[int], keep: list[str], geom: str = "geom") -> DataFrame:
