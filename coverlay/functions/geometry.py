@@ -178,6 +178,11 @@ def difference(a, b) -> Column:
     return _call("cv_difference", a, b)
 
 
+def near_part(a, b) -> Column:
+    """``a`` without what lies well away from ``b``. Overlay of the result with ``b`` is that of ``a`` with ``b``."""
+    return _call("cv_near_part", a, b)
+
+
 def union(a, b) -> Column:
     return _call("cv_union", a, b)
 

@@ -222,13 +222,17 @@ def centroid(nested) -> Column:
 # ---- row forms ----
 
 
-def to_vertices(df: DataFrame, nested: str, keep: list[str]) -> DataFrame:
-    """One row per vertex with 1-based ``part, ring, seq`` paths and ``x, y``."""
+def to_vertices(df: DataFrame, nested: str, keep: list[str], last: str | None = None) -> DataFrame:
+    """One row per vertex with 1-based ``part, ring, seq`` paths and ``x, y``.
+
+    ``last`` names a column for the ring's last sequence number; it comes from the array, without a window.
+    """
     a = df.select(*keep, F.posexplode(nested).alias("_p", "_part"))
     b = a.select(*keep, (F.col("_p") + 1).alias("part"), F.posexplode("_part").alias("_r", "_ring"))
-    c = b.select(*keep, "part", (F.col("_r") + 1).alias("ring"), F.posexplode("_ring").alias("_s", "_pt"))
+    end = [F.size("_ring").alias(last)] if last else []
+    c = b.select(*keep, "part", (F.col("_r") + 1).alias("ring"), *end, F.posexplode("_ring").alias("_s", "_pt"))
     return c.select(
-        *keep, "part", "ring", (F.col("_s") + 1).alias("seq"), F.col("_pt.x").alias("x"), F.col("_pt.y").alias("y")
+        *keep, *([last] if last else []), "part", "ring", (F.col("_s") + 1).alias("seq"), F.col("_pt.x").alias("x"), F.col("_pt.y").alias("y")
     )
 
 

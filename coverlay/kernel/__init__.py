@@ -57,6 +57,7 @@ FUNCTIONS = {
     "cv_intersection": ("Intersection", _BIN),
     "cv_difference": ("Difference", _BIN),
     "cv_union": ("Union", _BIN),
+    "cv_near_part": ("NearPart", _BIN),
     "cv_polygonal_intersection": ("PolygonalIntersection", _BIN),
     "cv_frontage": ("Frontage", _DBL),
     "cv_within_distance": ("WithinDistance", _BOOL),

@@ -86,7 +86,7 @@ def nearest_on_segments(points: DataFrame, segments: DataFrame, on: Sequence[str
 
 def nearest_outline(
     points: DataFrame, layer: DataFrame, cell: float, point_id: str, layer_id: str, on: Sequence[str] = (),
-    radius: float | None = None, max_radius: float = 1e6,
+    radius: float | None = None, max_radius: float = 1e6, max_segments: int = 64,
 ) -> DataFrame:
     """Nearest feature outline for every point, exact: ``point columns, layer_id, nearest, dist``; ties are kept.
 
@@ -94,14 +94,16 @@ def nearest_outline(
     nothing outside could be nearer. Points without any partner under ``on`` stay out.
     """
     r = radius or cell
-    lines = layer.select(*on, layer_id, G.boundary("geom").alias("_outline"))
+    # short runs of the outline: small boxes, and no point is measured against a whole border
+    lines = layer.select(*on, layer_id, F.explode(G.chop(G.boundary("geom"), max_segments)).alias("_outline"))
     todo, found = points, None
     while True:
         left = todo.withColumn("_pt", G.point("x", "y"))
         hits = spatial_join(left, lines, None, max(cell, r), on=on, left_geom="_pt", right_geom="_outline", expand=r)
         hits = G.once(hits, "nearest", G.nearest_point("_outline", "_pt")).drop("_pt", "_outline")
         hits = cut(hits.withColumn("dist", N.distance(N.xy("x", "y"), "nearest")).where(F.col("dist") <= r))
-        settled = cut(best_per_key(hits, [point_id], "dist"))
+        # neighbouring runs share a segment and can report the same place twice
+        settled = cut(best_per_key(hits, [point_id], "dist").dropDuplicates([point_id, layer_id, "nearest"]))
         found = settled if found is None else found.unionByName(settled)
         todo = cut(todo.join(settled, point_id, "left_anti"))
         if on:

@@ -51,7 +51,7 @@ def cut_out(df: DataFrame, key: str, masks: DataFrame, cfg: CleanConfig, on: lis
     """Subtract from every area the masks that meet it (and agree on ``on``); areas without a mask are unchanged."""
     m = masks.select(*on, F.col("geom").alias("geom2"))
     near = spatial_join(df.select(key, *on, "geom"), m, G.intersects, cfg.cell, on=on)
-    hole = near.groupBy(key).agg(G.union_agg("geom2").alias("_mask"))
+    hole = near.groupBy(key).agg(G.union_agg(G.near_part("geom2", "geom")).alias("_mask"))
     left = df.join(hole, key, "left")
     return left.withColumn(
         "geom", F.when(F.col("_mask").isNotNull(), G.difference("geom", "_mask")).otherwise(F.col("geom"))

@@ -21,7 +21,7 @@ def zone_gaps(zones: DataFrame, pieces: DataFrame, cfg: CleanConfig) -> DataFram
     """Each zone minus the localities of its state that meet it: ``zone_id, state, geom``. All pieces count."""
     cover = pieces.select(F.col("loc_state").alias("state"), F.col("geom").alias("geom2"))
     pairs = spatial_join(zones.select("zone_id", "state", "geom"), cover, G.intersects, cfg.cell, on=["state"])
-    covered = pairs.groupBy("zone_id").agg(G.union_agg("geom2").alias("_cover"))
+    covered = pairs.groupBy("zone_id").agg(G.union_agg(G.near_part("geom2", "geom")).alias("_cover"))
     rest = zones.select("zone_id", "state", "geom").join(covered, "zone_id")
     return rest.select("zone_id", "state", F.explode(G.polygons(G.difference("geom", "_cover"))).alias("geom"))
 

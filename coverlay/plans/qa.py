@@ -10,7 +10,6 @@ from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.kernel import enable
 from coverlay.operators.attributes import lead_over_all
-from coverlay.operators.dissolve import collect
 from coverlay.sources.writers import nested_geometry
 
 def _report(df: DataFrame) -> DataFrame:
@@ -38,9 +37,9 @@ def empty_features(display: DataFrame) -> DataFrame:
 
 
 def _rounded_vertices(df: DataFrame, key: str) -> DataFrame:
-    v = N.to_vertices(nested_geometry(df.select(key, "geom")), "nested", [key])
+    v = N.to_vertices(nested_geometry(df.select(key, "geom")), "nested", [key], last="max_seq")
     return v.select(
-        key, "part", "ring", "seq", F.col("y").cast("decimal(7,5)").alias("latitude"),
+        key, "part", "ring", "seq", "max_seq", F.col("y").cast("decimal(7,5)").alias("latitude"),
         F.col("x").cast("decimal(8,5)").alias("longitude"),
     )
 
@@ -52,14 +51,18 @@ def duplicate_vertices(df: DataFrame, key: str = "locality_pid", by_part: bool =
     one multipolygon are checked together.
     """
     scope = [key, "part", "ring"] if by_part else [key, "ring"]
-    v = _rounded_vertices(df, key).withColumn("max_seq", F.max("seq").over(W.partitionBy(*scope)))
+    v = _rounded_vertices(df, key)
+    if not by_part:
+        v = v.withColumn("max_seq", F.max("seq").over(W.partitionBy(*scope)))
     inner = v.where((F.col("seq") > 1) & (F.col("seq") < F.col("max_seq")))
     return inner.groupBy(*scope, "longitude", "latitude").agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
 
 
 def vertex_positions(df: DataFrame, longitude: Column, latitude: Column, key: str = "locality_pid") -> DataFrame:
     """Where a coordinate occurs: part, ring and sequence number."""
-    return _rounded_vertices(df, key).where((F.col("longitude") == longitude) & (F.col("latitude") == latitude))
+    return _rounded_vertices(df, key).drop("max_seq").where(
+        (F.col("longitude") == longitude) & (F.col("latitude") == latitude)
+    )
 
 
 def vertex_reduction(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -83,8 +86,12 @@ def release_changes(old: DataFrame, new: DataFrame, key: str = "locality_pid") -
 def postcode_path(postcodes: DataFrame) -> DataFrame:
     """Line from each postcode's centre to the next postcode's: ``postcode, next_postcode, path``."""
     enable(postcodes.sparkSession)
-    whole = collect(postcodes.where(F.col("postcode").isNotNull()), ["postcode"])
-    pts = whole.select("postcode", G.centroid("geom").alias("centre"))
+    # the centre of a collection is the area-weighted mean of its members' centres: sums, never one geometry
+    each = postcodes.where(F.col("postcode").isNotNull()).select("postcode", G.area("geom").alias("a"), G.centroid("geom").alias("c"))
+    sums = each.groupBy("postcode").agg(
+        F.sum("a").alias("a"), F.sum(F.col("a") * F.col("c.x")).alias("mx"), F.sum(F.col("a") * F.col("c.y")).alias("my")
+    )
+    pts = sums.select("postcode", N.xy(F.col("mx") / F.col("a"), F.col("my") / F.col("a")).alias("centre"))
     led = lead_over_all(pts, ["postcode"], ["postcode", "centre"])
     return led.select(
         "postcode", F.col("next.postcode").alias("next_postcode"), N.make_line("centre", F.col("next.centre")).alias("path")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.kernel import enable
-from coverlay.operators.grid import cell_key, cell_of, with_bounds
+from coverlay.operators.grid import cell_key, with_bounds
 
 
 def shape_columns(display: DataFrame) -> DataFrame:
@@ -118,20 +118,21 @@ def write_boxes(df: DataFrame, path: str, key: str = "locality_pid") -> None:
     document_rows(box_objects(df, key), key, "[", "]").write.mode("overwrite").text(path)
 
 
-def box_arrays(df: DataFrame, tile: float, by: list[str] = (), key: str = "locality_pid") -> DataFrame:
-    """Box objects gathered into one sorted JSON array per map tile (and ``by`` columns)."""
-    b = with_bounds(df.select(*by, key, "geom"))
+def box_arrays(df: DataFrame, page: Column, key: str = "locality_pid") -> DataFrame:
+    """Box objects gathered into one sorted JSON array per page; ``page`` should bound the rows it groups."""
+    b = with_bounds(df.select(page.alias("page"), key, "geom"))
     edge = lambda c, p: F.col(c).cast(f"decimal({p},4)")
     obj = F.struct(F.col(key).alias("id"), edge("xmin", 7).alias("l"), edge("ymin", 6).alias("b"),
                    edge("xmax", 7).alias("r"), edge("ymax", 6).alias("t"))
-    tiled = b.withColumns({"tile_x": cell_of("xmin", tile), "tile_y": cell_of("ymin", tile)})
-    return tiled.groupBy(*by, "tile_x", "tile_y").agg(F.to_json(F.sort_array(F.collect_list(obj))).alias("boxes"))
+    return b.groupBy("page").agg(F.to_json(F.sort_array(F.collect_list(obj))).alias("boxes"))
 
 
 def write_clustered(df: DataFrame, path: str, cell: float, partitions: int | None = None) -> None:
     """Parquet sorted by the Z-order key of each feature's cell, with box columns, for box reads."""
     b = clustered(df, cell)
-    ranged = b.repartitionByRange(partitions, "cell_key") if partitions else b.repartitionByRange("cell_key")
+    # the content hash lets a crowded cell spread over several partitions
+    order = [F.col("cell_key"), F.xxhash64(*df.columns)]
+    ranged = b.repartitionByRange(partitions, *order) if partitions else b.repartitionByRange(*order)
     ranged.sortWithinPartitions("cell_key").write.mode("overwrite").parquet(path)
 
 

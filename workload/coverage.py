@@ -9,7 +9,6 @@ from coverlay.functions import nested as N
 from coverlay.operators import attributes as A
 from coverlay.operators import points as P
 from coverlay.operators.adjacency import neighbours_by_edge, touching
-from coverlay.operators.dissolve import collect
 from coverlay.operators.grid import spatial_join
 from coverlay.operators.lines import break_line, make_lines
 from coverlay.plans import borders, display, gaps, qa, split
@@ -464,10 +463,10 @@ def udf2(spark, sf):
         FROM (SELECT zone_id, geom, cv_bounds(geom) AS b FROM {z})""", z=L.corridor_boxes(spark, sf))
 
 
-@query("udf4", f"""WITH {L.AREAS} SELECT state, sum((x1 - x0) * (y1 - y0) - CASE WHEN j = 0 THEN 1 ELSE 0 END)::DOUBLE AS area, count(*)::INT AS parts FROM area GROUP BY 1""")
+@query("udf4", f"""WITH {L.AREAS} SELECT state, b, sum((x1 - x0) * (y1 - y0) - CASE WHEN j = 0 THEN 1 ELSE 0 END)::DOUBLE AS area, count(*)::INT AS parts FROM area GROUP BY 1, 2""")
 def udf4(spark, sf):
     """Union and collect as SQL aggregates with map-side partial results."""
-    return spark.sql("SELECT state, cv_area(cv_union_agg(geom)) AS area, cv_nparts(cv_collect_agg(geom)) AS parts FROM {a} GROUP BY state",
+    return spark.sql("SELECT state, b, cv_area(cv_union_agg(geom)) AS area, cv_nparts(cv_collect_agg(geom)) AS parts FROM {a} GROUP BY state, b",
                      a=L.areas(spark, sf))
 
 

@@ -10,7 +10,7 @@ from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.functions.keys import KeyRanges, release
 from coverlay.operators import attributes as A
-from coverlay.operators.dissolve import collect, dissolve, outline_edges, outline_measures
+from coverlay.operators.dissolve import collect, dissolve_parts, outline_edges, outline_measures
 from coverlay.operators.grid import spatial_filter, spatial_join
 from coverlay.operators.lines import make_lines
 from coverlay.plans import display
@@ -211,8 +211,8 @@ def _side(spark, sf):
 def agg1(spark, sf):
     """Dissolve a layer in which a few owners hold everything."""
     cells = L.cells_nested(spark, sf).select("owner", G.encode("nested").alias("geom"))
-    d = dissolve(cells, ["owner"], cell=32.0, extent=_side(spark, sf))
-    return d.select("owner", G.area("geom").alias("area"), G.length("geom").alias("perimeter"))
+    d = dissolve_parts(cells, ["owner"], cell=32.0, extent=_side(spark, sf))
+    return d.groupBy("owner").agg(F.sum(G.area("geom")).alias("area"), F.sum(G.length("geom")).alias("perimeter"))
 
 
 @query("agg1_edges", f"WITH {L.CELLS}{_PERIMETER}")
@@ -262,10 +262,9 @@ def _labelled(spark, sf):
     return lonlat_boxes(spark, sf).withColumn("locality_pid", F.concat(F.lit("c"), "k"))
 
 
-@query("agg9", f"""WITH {L.LONLAT} SELECT floor(lon / 4)::BIGINT AS tile_x, floor(lat / 4)::BIGINT AS tile_y,
-'[' || string_agg({_BOX}, ',' ORDER BY 'c' || k) || ']' AS boxes FROM ll GROUP BY 1, 2""")
+@query("agg9", f"""WITH {L.LONLAT} SELECT k // 64 AS page, '[' || string_agg({_BOX}, ',' ORDER BY 'c' || k) || ']' AS boxes FROM ll GROUP BY 1""")
 def agg9(spark, sf):
-    return box_arrays(_labelled(spark, sf), 4.0)
+    return box_arrays(_labelled(spark, sf), F.floor(F.col("k") / 64))
 
 
 @query("agg10", f"WITH {L.LOC} SELECT state, sum(CASE WHEN holed THEN 10 ELSE 5 END)::BIGINT AS points FROM loc GROUP BY 1")
@@ -273,20 +272,22 @@ def agg10(spark, sf):
     return L.localities(spark, sf).groupBy("state").agg(F.sum(G.num_points("geom")).alias("points"))
 
 
-_STEPS = """, s AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM tr WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""
+_STEPS = """, s AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM tr WINDOW w AS (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id))"""
 
 
-@query("agg11", f"""WITH {L.TRACKS}{_STEPS} SELECT user_id, count(*)::INT AS n,
-round(coalesce(sum(sqrt((x - px) * (x - px) + (y - py) * (y - py))), 0), 6) AS length FROM s GROUP BY 1""")
+@query("agg11", f"""WITH {L.TRACKS}{_STEPS} SELECT user_id, date_trunc('day', ts)::DATE::VARCHAR AS day, count(*)::INT AS n,
+round(coalesce(sum(sqrt((x - px) * (x - px) + (y - py) * (y - py))), 0), 6) AS length FROM s GROUP BY 1, 2""")
 def agg11(spark, sf):
-    lines = make_lines(L.tracks(spark, sf), ["user_id"], ["ts", "event_id"])
-    return lines.select("user_id", F.size("path").alias("n"), F.round(N.ring_length("path"), 6).alias("length"))
+    """One line per user and day: a line is one row, so its key has to bound its points."""
+    d = L.tracks(spark, sf).withColumn("day", F.to_date("ts").cast("string"))
+    lines = make_lines(d, ["user_id", "day"], ["ts", "event_id"])
+    return lines.select("user_id", "day", F.size("path").alias("n"), F.round(N.ring_length("path"), 6).alias("length"))
 
 
-@query("agg12", f"WITH {BRAND_CELLS} SELECT owner, count(*)::INT AS parts, count(*)::DOUBLE AS area FROM cells GROUP BY 1")
+@query("agg12", f"WITH {BRAND_CELLS} SELECT owner, cell_id // 512 AS block, count(*)::INT AS parts, count(*)::DOUBLE AS area FROM cells GROUP BY 1, 2")
 def agg12(spark, sf):
-    d = collect(L.brand_cells_nested(spark, sf).withColumn("geom", G.encode("nested")), ["owner"])
-    return d.select("owner", G.num_parts("geom").alias("parts"), G.area("geom").alias("area"))
+    cells = L.brand_cells_nested(spark, sf).withColumns({"geom": G.encode("nested"), "block": F.floor(F.col("cell_id") / 512)})
+    return collect(cells, ["owner", "block"]).select("owner", "block", G.num_parts("geom").alias("parts"), G.area("geom").alias("area"))
 
 
 @query("agg13", f"WITH {L.TRACKS} SELECT x % 16 AS x, y % 8 AS y, count(*) AS cnt FROM tr GROUP BY 1, 2 HAVING count(*) > 1")
@@ -308,14 +309,14 @@ def agg14(spark, sf):
 
 
 @query("agg15", f"""WITH {BRAND_CELLS}, adj AS (
-  SELECT a.owner, count(*) AS n FROM cells a JOIN cells b ON a.owner = b.owner
-   AND ((b.cx = a.cx + 1 AND b.cy = a.cy) OR (b.cx = a.cx AND b.cy = a.cy + 1)) GROUP BY 1)
-SELECT c.owner, (4 * c.n - coalesce(adj.n, 0))::DOUBLE AS length FROM (SELECT owner, count(*) AS n FROM cells GROUP BY 1) c
-LEFT JOIN adj ON adj.owner = c.owner""")
+  SELECT a.owner, a.cell_id // 512 AS block, count(*) AS n FROM cells a JOIN cells b ON a.owner = b.owner AND a.cell_id // 512 = b.cell_id // 512
+   AND ((b.cx = a.cx + 1 AND b.cy = a.cy) OR (b.cx = a.cx AND b.cy = a.cy + 1)) GROUP BY 1, 2)
+SELECT c.owner, c.block, (4 * c.n - coalesce(adj.n, 0))::DOUBLE AS length FROM (SELECT owner, cell_id // 512 AS block, count(*) AS n FROM cells GROUP BY 1, 2) c
+LEFT JOIN adj ON adj.owner = c.owner AND adj.block = c.block""")
 def agg15(spark, sf):
-    seg = N.to_segments(L.brand_cells_nested(spark, sf), "nested", ["owner"])
-    lines = seg.select("owner", G.line(F.array(N.xy("x1", "y1"), N.xy("x2", "y2"))).alias("line"))
-    return lines.groupBy("owner").agg(G.union_agg("line").alias("geom")).select("owner", G.length("geom").alias("length"))
+    cells = L.brand_cells_nested(spark, sf).withColumn("block", F.floor(F.col("cell_id") / 512))
+    lines = N.to_segments(cells, "nested", ["owner", "block"]).withColumn("line", G.line(F.array(N.xy("x1", "y1"), N.xy("x2", "y2"))))
+    return lines.groupBy("owner", "block").agg(G.union_agg("line").alias("geom")).select("owner", "block", G.length("geom").alias("length"))
 
 
 # ---- windows and order ----

@@ -9,9 +9,12 @@ from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.functions import zoom as Z
 from coverlay.operators import points as P
+from coverlay.operators.attributes import lead_over_all
+from coverlay.operators.dissolve import dissolve_parts
 from coverlay.operators.grid import with_bounds
 from coverlay.operators.lines import label_chains, chain_lines
 from coverlay.operators.simplify import simplify_coverage, thin_by_zoom
+from coverlay.operators.stage import number_rows
 from coverlay.sources.readers import fix_point_geometry
 from workload import layers as L
 from workload.registry import query, spread, table
@@ -171,11 +174,10 @@ _STEP = "s AS (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM tr WIND
 
 
 def _steps(spark, sf):
-    from pyspark.sql import Window as W
-
-    w = W.partitionBy("user_id").orderBy("ts", "event_id")
+    """Each event's point and the same user's next one. Range partitions cut through busy users."""
     d = L.tracks(spark, sf).select("event_id", "user_id", "ts", N.xy("x", "y").alias("a"))
-    return d.select("event_id", "a", F.lead("a").over(w).alias("b"))
+    led = lead_over_all(d, ["user_id", "ts", "event_id"], ["user_id", "a"])
+    return led.select("event_id", "a", F.when(F.col("next.user_id") == F.col("user_id"), F.col("next.a")).alias("b"))
 
 
 @query("geo18", f"""WITH {L.TRACKS}, {_STEP} SELECT event_id, round(CASE WHEN nx = x AND ny = y THEN NULL
@@ -358,12 +360,10 @@ FROM (SELECT owner, count(*) AS n FROM cells GROUP BY 1) c LEFT JOIN adj ON adj.
 @query("cov3", _FACES)
 def cov3(spark, sf):
     """Shared-border simplification of a coverage; below the size of its corners it changes no area."""
-    from coverlay.operators.dissolve import dissolve
-
     cells = L.brand_cells_nested(spark, sf).select("owner", G.encode("nested").alias("geom"))
-    owners = dissolve(cells, ["owner"], cell=8.0, extent=(1.0, 1000.0))
-    out = simplify_coverage(owners, "owner", 0.25, 8.0)
-    return out.select("owner", G.area("geom").alias("area"), G.length("geom").alias("perimeter"))
+    parts = number_rows(dissolve_parts(cells, ["owner"], cell=8.0), "pid")
+    out = simplify_coverage(parts, "pid", 0.25, 8.0).join(parts.select("pid", "owner"), "pid")
+    return out.groupBy("owner").agg(F.sum(G.area("geom")).alias("area"), F.sum(G.length("geom")).alias("perimeter"))
 
 
 @query("ovl15", f"WITH {L.AREAS} SELECT k, (2 * (x1 - x0) + 2 * (y1 - y0) + CASE WHEN j = 0 THEN 4 ELSE 0 END)::DOUBLE AS length FROM area")
