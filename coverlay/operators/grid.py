@@ -69,6 +69,16 @@ def suggest_cell_size(df: DataFrame, geom: str = "geom") -> float:
     return size
 
 
+#: largest side, in bytes of geometry and keys spread over cells, that a join may broadcast
+BROADCAST_LIMIT = 64 * 1024 * 1024
+
+
+def _fits(side: DataFrame, geom: str) -> bool:
+    """Measure a side as it would be sent: one small aggregate."""
+    size = side.agg(F.sum(F.coalesce(F.length(geom), F.lit(0)) + 128)).first()[0]
+    return (size or 0) <= BROADCAST_LIMIT
+
+
 def _splits() -> Column:
     """Sub-cells per side of a cell at its level: exact powers of two."""
     return F.expr("shiftleft(CAST(1 AS BIGINT), _lv)")
@@ -114,12 +124,15 @@ def spatial_join(
     where: Column | None = None,
     expand: float = 0.0,
     refine_above: int | None = None,
+    small: str | None = None,
 ) -> DataFrame:
     """Inner join of two layers on ``predicate(left_geom, right_geom)`` and equality of the ``on`` columns.
 
     The sides must not share column names other than ``on``. ``predicate=None`` keeps pairs whose boxes meet.
     ``where`` is an extra cheap condition tested before the exact predicate; ``expand`` grows the left boxes.
     ``refine_above`` counts rows per cell first and cuts cells that hold more than that many into smaller ones.
+    ``small='left'`` or ``'right'`` names a side that is expected to be small and cheap to compute: it is measured,
+    and broadcast if it fits, so that the other side is not shuffled. If it does not fit, the join is the usual one.
     """
     clash = (set(left.columns) & set(right.columns)) - set(on)
     if clash:
@@ -134,6 +147,10 @@ def spatial_join(
     l = explode_cells(l, cell, "_l", "_cx", "_cy")
     r = explode_cells(r, cell, "_r", "_cx", "_cy")
     px, py = F.greatest("_lxmin", "_rxmin"), F.greatest("_lymin", "_rymin")
+    if small == "left" and _fits(l, left_geom):
+        l, refine_above = F.broadcast(l), None
+    elif small == "right" and _fits(r, right_geom):
+        r, refine_above = F.broadcast(r), None
     if refine_above:
         l, r, keys, size = _refine(l, r, on, cell, refine_above)
         # a corner on the clamped edge of a cell belongs to the base cell it falls in

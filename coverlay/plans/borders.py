@@ -40,7 +40,7 @@ def border_bands(lines: DataFrame, cfg: CleanConfig) -> DataFrame:
 def band_overlaps(bands: DataFrame, cfg: CleanConfig) -> DataFrame:
     """Where the bands of two states overlap, each pair of states once; coastlines have no partner and drop out."""
     other = bands.select(F.col("state").alias("state2"), F.col("geom").alias("geom2"))
-    pairs = spatial_join(bands, other, G.intersects, cfg.cell, where=F.col("state") < F.col("state2"))
+    pairs = spatial_join(bands, other, G.intersects, cfg.cell, refine_above=cfg.hot_cell, where=F.col("state") < F.col("state2"))
     shared = pairs.select(
         F.concat("state", F.lit("-"), "state2").alias("pair"), G.polygonal_intersection("geom", "geom2").alias("geom")
     )
@@ -57,7 +57,7 @@ def clip_to_layer(
     """
     boxes = df.select(key, "geom")
     near = spatial_join(
-        boxes, layer_tiles.select(*layer_keys, F.col("geom").alias("geom2")), None, cfg.cell
+        boxes, layer_tiles.select(*layer_keys, F.col("geom").alias("geom2")), None, cfg.cell, refine_above=cfg.hot_cell
     ).drop("geom")
     if pairs is not None:
         near = near.join(pairs, [key, layer_keys[0]], "left_semi")

@@ -9,6 +9,8 @@ class CleanConfig:
 
     #: grid cell for joins of localities, pieces and zones
     cell: float = 0.25
+    #: rows per grid cell above which a join cuts the cell into smaller ones (None: leave hot cells to the engine)
+    hot_cell: int | None = None
     #: border corridors: line thinning, half width, buffer corner steps
     border_simplify: float = 0.001
     border_width: float = 0.015

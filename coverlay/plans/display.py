@@ -50,7 +50,7 @@ def _filled(df: DataFrame, keys: list[str], cfg: CleanConfig) -> DataFrame:
 def cut_out(df: DataFrame, key: str, masks: DataFrame, cfg: CleanConfig, on: list[str] = ()) -> DataFrame:
     """Subtract from every area the masks that meet it (and agree on ``on``); areas without a mask are unchanged."""
     m = masks.select(*on, F.col("geom").alias("geom2"))
-    near = spatial_join(df.select(key, *on, "geom"), m, G.intersects, cfg.cell, on=on)
+    near = spatial_join(df.select(key, *on, "geom"), m, G.intersects, cfg.cell, on=on, refine_above=cfg.hot_cell)
     hole = near.groupBy(key).agg(G.union_agg(G.near_part("geom2", "geom")).alias("_mask"))
     left = df.join(hole, key, "left")
     return left.withColumn(

@@ -20,7 +20,7 @@ from coverlay.plans.split import GOOD_BORDER, MESSY_BORDER
 def zone_gaps(zones: DataFrame, pieces: DataFrame, cfg: CleanConfig) -> DataFrame:
     """Each zone minus the localities of its state that meet it: ``zone_id, state, geom``. All pieces count."""
     cover = pieces.select(F.col("loc_state").alias("state"), F.col("geom").alias("geom2"))
-    pairs = spatial_join(zones.select("zone_id", "state", "geom"), cover, G.intersects, cfg.cell, on=["state"])
+    pairs = spatial_join(zones.select("zone_id", "state", "geom"), cover, G.intersects, cfg.cell, on=["state"], refine_above=cfg.hot_cell, small="left")
     covered = pairs.groupBy("zone_id").agg(G.union_agg(G.near_part("geom2", "geom")).alias("_cover"))
     rest = zones.select("zone_id", "state", "geom").join(covered, "zone_id")
     return rest.select("zone_id", "state", F.explode(G.polygons(G.difference("geom", "_cover"))).alias("geom"))
@@ -31,7 +31,7 @@ def all_gap_zones(zones: DataFrame, gaps: DataFrame, pieces: DataFrame, cfg: Cle
     bare = zones.select("zone_id", "state", "geom").join(gaps.select("zone_id").distinct(), "zone_id", "left_anti")
     if not cfg.add_covered_zones:
         cover = pieces.select(F.col("loc_state").alias("state"), F.col("geom").alias("geom2"))
-        met = spatial_join(bare, cover, G.intersects, cfg.cell, on=["state"]).select("zone_id").distinct()
+        met = spatial_join(bare, cover, G.intersects, cfg.cell, on=["state"], refine_above=cfg.hot_cell, small="left").select("zone_id").distinct()
         bare = bare.join(met, "zone_id", "left_anti")
     near = spatial_join(bare, gaps.select(F.col("geom").alias("geom2")), G.touches, cfg.cell)
     return bare.join(near.select("zone_id").distinct(), "zone_id", "left_semi")
@@ -60,7 +60,8 @@ def gap_pairs(gaps: DataFrame, pieces: DataFrame, cfg: CleanConfig, gap_id: str
     """Gap × locality piece of the same state that meet: ``gap_id, state, geom, locality_pid, geom2``."""
     other = pieces.select(F.col("loc_state").alias("state"), "locality_pid", F.col("geom").alias("geom2"))
     pad = 0.0 if cfg.contact == "overlap" else cfg.contact_tolerance
-    return spatial_join(gaps.select(gap_id, "state", "geom"), other, _meets(cfg), cfg.cell, on=["state"], expand=pad)
+    return spatial_join(gaps.select(gap_id, "state", "geom"), other, _meets(cfg), cfg.cell, on=["state"], expand=pad,
+                        refine_above=cfg.hot_cell, small="left")
 
 
 def gap_localities(gaps: DataFrame, pieces: DataFrame, cfg: CleanConfig) -> DataFrame:
@@ -121,7 +122,9 @@ def split_gaps(gaps: DataFrame, lines: DataFrame, cfg: CleanConfig) -> DataFrame
     ``split_id, hole_id, state, geom, blades, pieces``; fewer pieces than blades + 1 marks an incomplete cut.
     """
     grown = gaps.select("hole_id", "state", G.open_close("geom", *cfg.gap_grow).alias("geom"))
-    hits = spatial_join(grown, lines.select("state", "line"), G.intersects, cfg.cell, on=["state"], right_geom="line")
+    hits = spatial_join(
+        grown, lines.select("state", "line"), G.intersects, cfg.cell, on=["state"], right_geom="line", small="right"
+    )
     blades = hits.groupBy("hole_id").agg(G.union_agg("line").alias("_blades"))
     cut_up = grown.join(blades, "hole_id").withColumn("_faces", G.split_polygon("geom", "_blades"))
     out = cut_up.select(

@@ -27,7 +27,7 @@ def locality_polygons(bdys: DataFrame) -> DataFrame:
 def border_pairs(localities: DataFrame, states: DataFrame, cfg: CleanConfig) -> DataFrame:
     """``gid, state_gid`` of localities that meet an outline of a state; found on short runs of the outlines."""
     runs = state_lines(states).select("state_gid", F.explode(G.chop("geom", cfg.max_segments)).alias("line"))
-    hits = spatial_join(localities.select("gid", "geom"), runs, G.intersects, cfg.cell, right_geom="line")
+    hits = spatial_join(localities.select("gid", "geom"), runs, G.intersects, cfg.cell, right_geom="line", refine_above=cfg.hot_cell, small="right")
     return hits.select("gid", "state_gid").distinct()
 
 
@@ -61,7 +61,7 @@ def mark_centroid(pieces: DataFrame, localities: DataFrame, cfg: CleanConfig) ->
     pts = localities.join(open_.select("gid").distinct(), "gid", "left_semi").select(
         "locality_pid", G.interior_point("geom").alias("_p")
     ).select("locality_pid", "_p.x", "_p.y")
-    hit = points_in_areas(pts, open_.select("locality_pid", "piece_id", "geom"), cfg.cell, on=["locality_pid"])
+    hit = points_in_areas(pts, open_.select("locality_pid", "piece_id", "geom"), cfg.cell, on=["locality_pid"], refine_above=cfg.hot_cell)
     return set_where_key(pieces, hit, ["piece_id"], "match_type", F.lit(CENTROID), F.col("match_type") == SPLIT)
 
 
@@ -71,6 +71,7 @@ def mark_slivers(pieces: DataFrame, corridor_layer: DataFrame, cfg: CleanConfig)
     near = spatial_join(
         open_.select("piece_id", F.col("loc_state").alias("state"), "geom"),
         corridor_layer.select("state", F.col("geom").alias("geom2")), G.intersects, cfg.cell, on=["state"],
+        refine_above=cfg.hot_cell, small="right",
     )
     return set_where_key(pieces, near, ["piece_id"], "match_type", F.lit(SLIVER), F.col("match_type") == SPLIT)
 
@@ -85,7 +86,8 @@ def reassign_slivers(pieces: DataFrame, cfg: CleanConfig) -> DataFrame:
     )
     other = pieces.select("loc_state", "locality_pid", F.col("geom").alias("geom2"))
     pairs = spatial_join(
-        slivers, other, G.touches, cfg.cell, on=["loc_state"], where=F.col("_own") != F.col("locality_pid")
+        slivers, other, G.touches, cfg.cell, on=["loc_state"], where=F.col("_own") != F.col("locality_pid"),
+        refine_above=cfg.hot_cell, small="left",
     ).withColumn("_w", G.frontage("geom", "geom2", cfg.contact_tolerance))
     # one neighbour may touch along several pieces: what counts is its whole common outline
     total = pairs.groupBy("piece_id", "locality_pid").agg(F.round(F.sum("_w"), 6).alias("_w"))
@@ -113,7 +115,7 @@ def apply_fix_points(pieces: DataFrame, points: DataFrame | None, cfg: CleanConf
     is_open = F.col("match_type") == SPLIT
     if points is not None:
         xy = points.select("x", "y").distinct()
-        hit = points_in_areas(xy, pieces.where(is_open).select("piece_id", "geom"), cfg.cell)
+        hit = points_in_areas(xy, pieces.where(is_open).select("piece_id", "geom"), cfg.cell, small="left")
         pieces = set_where_key(pieces, hit, ["piece_id"], "match_type", F.lit(MANUAL), is_open)
     if cfg.always_keep:
         keep = is_open & F.col("locality_pid").isin(*cfg.always_keep)

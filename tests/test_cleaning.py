@@ -72,7 +72,8 @@ def test_overlap_contact_needs_shared_area(shapes):
     assert [(r.x, r.y) for r in p] == [(1.0, 2.0)]
 
 
-def test_whole_run(spark, shapes):
+@pytest.mark.parametrize("hot_cell", [None, 2])
+def test_whole_run(spark, shapes, hot_cell):
     """Two states; a gap on the border shared by two localities, an overshoot, a fix point, a lost locality."""
     areas = shapes([("S", poly(0, 0, 10, 10)), ("T", poly(10, 0, 20, 10))], "state string, wkt string")
     rows = [
@@ -82,7 +83,8 @@ def test_whole_run(spark, shapes):
     bdys = shapes(rows, "locality_pid string, state string, postcode string, wkt string").select(
         "locality_pid", F.upper("locality_pid").alias("locality_name"), "postcode", "state", F.lit("G").alias("locality_class"),
         F.lit(1).alias("address_count"), F.lit(1).alias("street_count"), "geom")
-    out = clean(bdys, areas, spark.createDataFrame([(1.0, 1.0)], "x double, y double"), CFG)
+    cfg = dataclasses.replace(CFG, hot_cell=hot_cell)
+    out = clean(bdys, areas, spark.createDataFrame([(1.0, 1.0)], "x double, y double"), cfg)
     got = {r.locality_pid: r.a for r in out["display"].select("locality_pid", F.round(G.area("geom"), 4).alias("a")).collect()}
     # "sea" never met a state outline and is kept whole; "bay" only touches the coast from outside and is kept too
     assert got["s1"] == 50.0 and got["s2"] == 50.0 and got["t1"] == 100.0

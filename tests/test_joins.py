@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.operators import attributes as A
+from coverlay.operators import grid
 from coverlay.operators.grid import spatial_filter, spatial_join, suggest_cell_size
 from coverlay.operators.lines import chain_lines, label_chains, merge_lines, node_edges
 from coverlay.operators.points import nearest_outline
@@ -56,6 +57,17 @@ def test_equality_keys_and_expand(spark):
     assert sorted(tuple(r) for r in got.select("id", "id2").collect()) == want
 
 
+@pytest.mark.parametrize("small", ["left", "right"])
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_measured_broadcast_changes_nothing(spark, monkeypatch, small, limit):
+    monkeypatch.setattr(grid, "BROADCAST_LIMIT", limit)
+    a, b = boxes(50, 14), boxes(50, 15)
+    j = spatial_join(frame(spark, a), frame(spark, b, "2"), G.intersects, 3.0, refine_above=4, small=small)
+    assert sorted(tuple(r) for r in j.select("id", "id2").collect()) == sorted((p[0], q[0]) for p in a for q in b if meet(p, q))
+    hinted = "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
+    assert hinted or limit == 0
+
+
 def test_filter_keeps_or_drops(spark):
     a, b = boxes(80, 5), boxes(20, 6)
     hit = {p[0] for p in a if any(meet(p, q) for q in b)}

@@ -10,7 +10,7 @@ from coverlay.operators import attributes as A
 from coverlay.operators import points as P
 from coverlay.operators.adjacency import neighbours_by_edge, touching
 from coverlay.operators.grid import spatial_join
-from coverlay.operators.lines import break_line, make_lines
+from coverlay.operators.lines import break_line
 from coverlay.plans import borders, display, gaps, qa, split
 from coverlay.sources.writers import vertices
 from workload import layers as L
