@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.operators.attributes import best_per_key
-from coverlay.operators.grid import spatial_join
+from coverlay.operators.grid import cell_of, cell_range, spatial_join
 from coverlay.operators.stage import cut
 
 
@@ -30,18 +30,26 @@ def on_segment(px, py) -> Column:
 
 
 def points_in_keyed_areas(
-    points: DataFrame, areas: DataFrame, on: Sequence[str], point_id: str, area_id: str, nested: str = "nested"
+    points: DataFrame, areas: DataFrame, on: Sequence[str], point_id: str, area_id: str, nested: str = "nested",
+    band: float | None = None,
 ) -> DataFrame:
     """Pairs of a point and an area with equal keys where the point is strictly inside the area.
 
     Built-in expressions only: areas become segments, each pair sums its ray crossings. Points on the outline
-    are not inside. The pair sums are partially aggregated before the shuffle.
+    are not inside. The pair sums are partially aggregated before the shuffle. ``band`` is a height in y by which
+    segments are spread and joined as well: a point then meets only segments at its own height, and a key with
+    very many points or vertices is spread over many join keys.
     """
     on = list(on)
     seg = N.to_segments(areas, nested, [*on, area_id])
     px, py = F.col("px"), F.col("py")
     pts = points.select(*on, point_id, F.col("x").alias("px"), F.col("y").alias("py"))
-    near = pts.join(seg, on).where(
+    keys = on
+    if band:
+        keys = [*on, "_band"]
+        pts = pts.withColumn("_band", cell_of("py", band))
+        seg = seg.withColumn("_band", cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), band))
+    near = pts.join(seg, keys).where(
         (py >= F.least("y1", "y2")) & (py <= F.greatest("y1", "y2")) & (px <= F.greatest("x1", "x2"))
     )
     per = near.groupBy(*on, point_id, area_id).agg(

@@ -5,7 +5,10 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class CleanConfig:
-    """Settings of a cleaning run. Lengths are in coordinate units (degrees by default)."""
+    """Settings of a cleaning run. Lengths are in coordinate units (degrees by default).
+
+    The defaults are fixed values: results for national data depend on them to the last digit.
+    """
 
     #: grid cell for joins of localities, pieces and zones
     cell: float = 0.25

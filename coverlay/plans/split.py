@@ -14,6 +14,7 @@ from coverlay.operators.stage import cut, number_rows
 from coverlay.plans.borders import clip_to_layer, state_lines
 from coverlay.plans.config import CleanConfig
 
+# Match types of pieces (fixed values that downstream users of the layers filter on).
 SPLIT, GOOD, SINGLE, CENTROID, SLIVER = "SPLIT", "GOOD", "SINGLE", "CENTROID", "BORDER SLIVER"
 GOOD_BORDER, MESSY_BORDER, MANUAL = "GOOD BORDER", "MESSY BORDER", "MANUAL"
 

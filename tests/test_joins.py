@@ -13,7 +13,7 @@ from coverlay.operators import attributes as A
 from coverlay.operators import grid
 from coverlay.operators.grid import spatial_filter, spatial_join, suggest_cell_size
 from coverlay.operators.lines import chain_lines, label_chains, merge_lines, node_edges
-from coverlay.operators.points import nearest_outline
+from coverlay.operators.points import nearest_outline, points_in_areas, points_in_keyed_areas
 
 
 def boxes(n, seed, spread=40.0, big=0.1):
@@ -112,6 +112,20 @@ def test_suggested_cell(spark):
     assert suggest_cell_size(frame(spark, [(i, 0.0, 0.0, 3.0, 1.0) for i in range(9)])) == 8.0
 
 
+@pytest.mark.parametrize("band", [None, 0.7, 16.0])
+def test_ray_crossings_match_the_kernel(spark, band):
+    rng = random.Random(16)
+    rows = [(i, *v) for i, v in enumerate((x, y, x + 3.0, y + 2.0) for x in range(-6, 6, 2) for y in range(-6, 6, 3))]
+    tri = spark.createDataFrame(rows, "id int, x0 double, y0 double, x1 double, y1 double").select(
+        "id", (F.col("id") % 2).alias("g"), F.array(F.array(N.ring([(F.col("x0"), F.col("y0")), (F.col("x1"), F.col("y0") + 0.5), (F.col("x0") + 1.0, F.col("y1"))]))).alias("nested"))
+    tri = tri.withColumn("geom", G.encode("nested"))
+    pts = [(i, i % 2, rng.uniform(-7, 9), rng.choice([rng.uniform(-7, 7), float(rng.randint(-6, 6))])) for i in range(300)]
+    p = spark.createDataFrame(pts, "pt int, g int, x double, y double")
+    got = points_in_keyed_areas(p, tri, ["g"], "pt", "id", band=band).select("pt", "id")
+    want = points_in_areas(p.select("pt", "g", "x", "y"), tri.select("id", "g", "geom"), 2.0, on=["g"]).select("pt", "id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 20
+
+
 def test_nearest_outline_is_exact(spark):
     rng = random.Random(9)
     layer = [b for b in boxes(40, 10)]

@@ -91,7 +91,7 @@ _IN = "x > x0 AND x < x1 AND y > y0 AND y < y1 AND NOT (holed AND x > hx0 AND x
 
 @query("joi8", f"WITH {L.POINTS}, {L.LOC} SELECT pt, k FROM pts JOIN loc USING (b) WHERE {_IN}")
 def joi8(spark, sf):
-    return P.points_in_keyed_areas(L.points(spark, sf), L.localities_nested(spark, sf), ["b"], "pt", "k").select("pt", "k")
+    return P.points_in_keyed_areas(L.points(spark, sf), L.localities_nested(spark, sf), ["b"], "pt", "k", band=4.0).select("pt", "k")
 
 
 @query("joi9", f"WITH {L.POINTS}, {L.LOC} SELECT DISTINCT k FROM (SELECT k FROM pts JOIN loc USING (b) WHERE {_IN} UNION ALL SELECT k FROM loc WHERE locality_pid = 'loc0000000007')")
