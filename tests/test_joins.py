@@ -115,7 +115,7 @@ def test_suggested_cell(spark):
 @pytest.mark.parametrize("band", [None, 0.7, 16.0])
 def test_ray_crossings_match_the_kernel(spark, band):
     rng = random.Random(16)
-    rows = [(i, *v) for i, v in enumerate((x, y, x + 3.0, y + 2.0) for x in range(-6, 6, 2) for y in range(-6, 6, 3))]
+    rows = [(i, *v) for i, v in enumerate((float(x), float(y), x + 3.0, y + 2.0) for x in range(-6, 6, 2) for y in range(-6, 6, 3))]
     tri = spark.createDataFrame(rows, "id int, x0 double, y0 double, x1 double, y1 double").select(
         "id", (F.col("id") % 2).alias("g"), F.array(F.array(N.ring([(F.col("x0"), F.col("y0")), (F.col("x1"), F.col("y0") + 0.5), (F.col("x0") + 1.0, F.col("y1"))]))).alias("nested"))
     tri = tri.withColumn("geom", G.encode("nested"))
