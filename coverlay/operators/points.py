@@ -85,7 +85,7 @@ def nearest_on_segments(points: DataFrame, segments: DataFrame, on: Sequence[str
     """
     pts = points.select(*on, point_id, N.xy("x", "y").alias("_p"))
     seg = segments.withColumns({"_a": N.xy("x1", "y1"), "_b": N.xy("x2", "y2")})
-    j = pts.join(seg, list(on)).withColumn("_q", N.project("_p", "_a", "_b"))
+    j = G.once(pts.join(seg, list(on)), "_q", N.project("_p", "_a", "_b"))
     j = j.withColumn("_d", N.distance("_p", "_q"))
     return j.groupBy(point_id).agg(
         F.min_by("_q", F.struct("_d", "_q")).alias("nearest"), F.min("_d").alias("dist")
