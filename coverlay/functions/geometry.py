@@ -1,16 +1,20 @@
-"""Column functions over WKB geometry. They resolve once :func:`coverlay.enable` has seen the session."""
+"""Column functions over WKB geometry. The first one used loads the kernel into the active session."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coverlay.kernel import enable
 
 #: Steps per quarter circle of a round buffer corner when none are asked for.
 QUADRANTS = 8
 
 
 def _call(name: str, *args) -> Column:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        enable(spark)
     return F.call_function(name, *[F.col(a) if isinstance(a, str) else a for a in args])
 
 

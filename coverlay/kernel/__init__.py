@@ -18,6 +18,7 @@ import zipfile
 from pathlib import Path
 
 import pyspark
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -87,8 +88,49 @@ class KernelUnavailable(RuntimeError):
     """The geometry kernel could not be built or loaded; plain DataFrame operators still work."""
 
 
-def build_jar(target_dir: str | os.PathLike | None = None) -> str:
-    """Compile the kernel against PySpark's own jars and return the jar's path (reused when unchanged)."""
+#: One class of each library that the kernel is compiled against.
+_NEEDS = ("org.apache.spark.sql.api.java.UDF1", "org.apache.spark.sql.expressions.Aggregator",
+          "org.locationtech.jts.geom.Geometry", "scala.collection.Seq", "org.apache.spark.sql.Row")
+
+
+def _running_class_path(spark: SparkSession) -> list[str]:
+    """What the session's own JVM has loaded these classes from, and its class path."""
+    jvm = spark.sparkContext._jvm
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    found = []
+    for name in _NEEDS:
+        try:
+            found.append(loader.loadClass(name).getProtectionDomain().getCodeSource().getLocation().getPath())
+        except Py4JError:  # other folders may still hold it
+            continue
+    return [*found, *(jvm.java.lang.System.getProperty("java.class.path") or "").split(os.pathsep)]
+
+
+def _holds(entry: str, member: str) -> bool:
+    if os.path.isdir(entry):
+        return os.path.exists(os.path.join(entry, member))
+    try:
+        with zipfile.ZipFile(entry) as zf:
+            return member in zf.NameToInfo
+    except (OSError, zipfile.BadZipFile):
+        return False
+
+
+def class_path(spark: SparkSession | None = None) -> str:
+    """Class path for ``javac``: of the running JVM, then ``SPARK_HOME/jars``, then PySpark's own ``jars``."""
+    entries = _running_class_path(spark) if spark is not None else []
+    folders = [os.path.join(home, "jars") for home in (os.environ.get("SPARK_HOME"), os.path.dirname(pyspark.__file__)) if home]
+    folders += [e[:-2] for e in entries if e.endswith("/*")]
+    entries += [str(p) for f in folders for p in sorted(Path(f).glob("*.jar"))]
+    entries = list(dict.fromkeys(e for e in entries if e and not e.endswith("/*") and os.path.exists(e)))
+    missing = [c for c in _NEEDS if not any(_holds(e, c.replace(".", "/") + ".class") for e in entries)]
+    if missing:
+        raise KernelUnavailable(f"{', '.join(missing)} not found; searched the session's class path and {folders}")
+    return os.pathsep.join(entries)
+
+
+def build_jar(target_dir: str | os.PathLike | None = None, spark: SparkSession | None = None) -> str:
+    """Compile the kernel against Spark's own jars and return the jar's path (reused when unchanged)."""
     sources = sorted(_SRC.rglob("*.java"))
     digest = hashlib.sha256(b"".join(p.read_bytes() for p in sources) + pyspark.__version__.encode()).hexdigest()[:16]
     target = Path(target_dir) if target_dir else Path(__file__).parent / "_build"
@@ -97,8 +139,7 @@ def build_jar(target_dir: str | os.PathLike | None = None) -> str:
         if not os.access(target, os.W_OK):
             raise PermissionError(target)
     except OSError:
-        target = Path(tempfile.gettempdir()) / f"coverlay-kernel-{os.getuid()}"
-        target.mkdir(parents=True, exist_ok=True)
+        target = Path(tempfile.mkdtemp(prefix="coverlay-kernel-"))  # code is loaded from it: private
     jar = target / f"coverlay-kernel-{digest}.jar"
     if jar.exists():
         return str(jar)
@@ -107,10 +148,12 @@ def build_jar(target_dir: str | os.PathLike | None = None) -> str:
         raise KernelUnavailable(
             f"javac not found: geometry overlay operators need it, or a prebuilt jar named by {_JAR_SETTING}"
         )
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars", "*")
+    path = class_path(spark)
     with tempfile.TemporaryDirectory() as out:
-        cmd = [javac, "-nowarn", "-Xlint:none", "--release", "17", "-cp", jars, "-d", out, *map(str, sources)]
-        done = subprocess.run(cmd, capture_output=True, text=True, timeout=300)
+        cmd = [javac, "-nowarn", "-Xlint:none", "-encoding", "UTF-8", "--release", "17", "-d", out, *map(str, sources)]
+        args = Path(out) / "class-path"  # by file: it may be longer than a command line
+        args.write_text(f'-cp "{path}"\n')
+        done = subprocess.run([*cmd, f"@{args}"], capture_output=True, text=True, timeout=300)
         if done.returncode:
             raise KernelUnavailable(f"kernel did not compile:\n{done.stderr}")
         with tempfile.NamedTemporaryFile(dir=target, suffix=".part", delete=False) as part:
@@ -128,7 +171,7 @@ def enable(spark: SparkSession) -> SparkSession:
         return spark
     if not hasattr(spark, "_jsparkSession"):
         raise KernelUnavailable("the geometry kernel needs a classic (JVM) session")
-    jar = spark.conf.get(_JAR_SETTING, None) or build_jar()
+    jar = spark.conf.get(_JAR_SETTING, None) or build_jar(spark=spark)
     spark.sql(f"ADD JAR '{jar}'")
     loader = spark._jsparkSession.sharedState().jarClassLoader()
     jvm = spark.sparkContext._jvm

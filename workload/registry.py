@@ -5,7 +5,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlay import enable
 from coverlay.operators.stage import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,7 +16,6 @@ def query(name: str, sql: str | None = None):
 
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            enable(spark)
             return fn(spark, sf_dir)
 
         run.__name__ = name
