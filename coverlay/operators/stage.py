@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +12,15 @@ _DIR = "spark.checkpoint.dir"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; only where none is set (tests) a folder of our own."""
+    """The shared folder the cluster names. A folder of our own only with a local master, where one disk is all there is."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     path = spark.conf.get(_DIR, None) or sc.getConf().get(_DIR, None)
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"set {_DIR} to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="coverlay-checkpoint-")
     sc.setCheckpointDir(path)
     return path
@@ -29,6 +32,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back: columns can be pruned, filters pushed down."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def number_rows(df: DataFrame, name: str) -> DataFrame:
     """Add a unique id and fix it by a checkpoint, so later retries of other stages see the same ids."""
     return cut(df.withColumn(name, F.monotonically_increasing_id()).select(name, *df.columns))

@@ -26,7 +26,7 @@ def _text(v):
     return repr(v + 0.0) if isinstance(v, float) else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     cols = sorted(df.columns)
@@ -43,4 +43,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.SQL)
