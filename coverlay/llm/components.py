@@ -32,7 +32,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     a, b = edges.columns[:2]
     now = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct()
-    mark = None
+    now, mark = store(now, "component-links"), None  # read several times in a round
     for _ in range(most_rounds):
         now = store(_small_star(_large_star(now)).distinct(), "component-links")
         last, mark = mark, tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlay.llm import arrow_stream, simhash, token_files
+from coverlay.llm import arrow_stream, decontaminate, simhash, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,3 +46,16 @@ def op2_token_counts(spark, sf_dir):
 def op10_arrow_stream(spark, sf_dir):
     """Documents as read back from the packed sequence files."""
     return arrow_stream.read_documents(arrow_stream.write_sequences(_table(spark, sf_dir, "documents"), TOKENIZER, END_ID))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    """Score and toxic spans of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+@query("op9_decontaminate")
+def op9_decontaminate(spark, sf_dir):
+    """Every document with a benchmark passage, the item and where it stands."""
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
