@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlay.llm import arrow_stream, decontaminate, simhash, token_files, toxicity
+from coverlay.llm import arrow_stream, decontaminate, quality, simhash, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -59,3 +59,9 @@ def op4_toxicity(spark, sf_dir):
 def op9_decontaminate(spark, sf_dir):
     """Every document with a benchmark passage, the item and where it stands."""
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_quality_rules")
+def op6_quality_rules(spark, sf_dir):
+    """Counts and verdict of every document."""
+    return quality.judge(_table(spark, sf_dir, "documents"))
