@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlay.llm import arrow_stream, decontaminate, quality, simhash, token_files, toxicity
+from coverlay.llm import arrow_stream, decontaminate, quality, secret_scan, simhash, token_files, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +65,15 @@ def op9_decontaminate(spark, sf_dir):
 def op6_quality_rules(spark, sf_dir):
     """Counts and verdict of every document."""
     return quality.judge(_table(spark, sf_dir, "documents"))
+
+
+@query("op3_url_filters", url_rules.sql())
+def op3_url_filters(spark, sf_dir):
+    """Host, path, site rule and verdict of every page."""
+    return url_rules.apply(_table(spark, sf_dir, "pages"))
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark, sf_dir):
+    """Counts, digest and spans of secrets in every document."""
+    return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
