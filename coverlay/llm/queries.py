@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlay.llm import arrow_stream, decontaminate, quality, secret_scan, simhash, token_files, toxicity, url_rules
+from coverlay.llm import arrow_stream, decontaminate, mixing, quality, quotes, secret_scan, simhash, token_files, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,3 +77,25 @@ def op3_url_filters(spark, sf_dir):
 def op8_secret_scan(spark, sf_dir):
     """Counts, digest and spans of secrets in every document."""
     return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
+
+
+#: Target share of tokens of each domain.
+WEIGHTS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
+
+
+def labelled_domains(spark, sf_dir, docs):
+    """The labelled table of the domain classifier: rows of ``labels`` with the language of their document."""
+    return _table(spark, sf_dir, "labels").select("doc_id").join(docs.select("doc_id", "lang").where("lang IS NOT NULL"), "doc_id")
+
+
+@query("op5_mixing")
+def op5_mixing(spark, sf_dir):
+    """Domain posterior, rate and copies of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return mixing.mix(docs, labelled_domains(spark, sf_dir, docs), WEIGHTS)
+
+
+@query("op7_chat_quotes", quotes.SQL)
+def op7_chat_quotes(spark, sf_dir):
+    """All messages in reply order, without quotations."""
+    return quotes.conversations(_table(spark, sf_dir, "conversations"))
