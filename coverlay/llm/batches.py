@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that one step of numpy work looks at; a longer text is a step of its own.
 STEP_BYTES = 2_000_000
@@ -29,7 +31,7 @@ def runs(sizes: list[int], most: int = STEP_BYTES) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` over single batches; empty batches give nothing."""
 
     def over(batches):
@@ -37,7 +39,21 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
             if batch.num_rows and (out := fn(batch)) is not None and out.num_rows:
                 yield out
 
-    return df.mapInArrow(over, schema)
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(over, schema)  # any column name will do
+
+
+def repeat_rows(docs: DataFrame, columns: list[Column], times: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """``docs`` with each row as often as ``times`` says (a number for each row of a batch of ``columns``).
+
+    The rows travel as one struct beside ``columns``, so neither their number nor their names matter; no shuffle.
+    """
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = pa.array(np.repeat(np.arange(batch.num_rows), times(batch)))
+        return pa.RecordBatch.from_arrays([batch.column(0).take(at)], names=["row"])
+
+    schema = T.StructType([T.StructField("row", docs.schema)])
+    return map_batches(docs.select(F.struct("*"), *columns), one, schema).select("row.*")
 
 
 def record(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:

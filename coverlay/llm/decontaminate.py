@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverlay.llm.batches import map_batches, utf8
+from coverlay.llm.batches import map_batches, repeat_rows, utf8
 
 _P = 0x9E3779B1
 
@@ -279,11 +279,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, how: Matching = Matching(), id_
     out = docs
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text")).where(F.col("text").isNotNull())
     for block in _blocks(items, how.block):
-        def search(batches, block=block, place=docs.columns.index(text_col)):
-            for batch in batches:
-                patterns = _patterns(tuple(block), how)
-                keep = [not (t.is_valid and find(t.as_py(), patterns)) for t in batch.column(place)]
-                yield batch.filter(pa.array(keep, pa.bool_()))
+        def keep(batch: pa.RecordBatch, block=block) -> np.ndarray:
+            patterns = _patterns(tuple(block), how)
+            return np.array([not find(t.as_py().decode("utf-8", "replace"), patterns) for t in batch.column(1)], dtype=np.int64)
 
-        out = out.mapInArrow(search, docs.schema)
+        out = repeat_rows(out, [utf8(text_col)], keep)
     return out

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverlay.llm.batches import map_batches, utf8
+from coverlay.llm.batches import map_batches, repeat_rows, utf8
 from coverlay.operators.stage import store
 
 
@@ -245,12 +245,10 @@ def resample(
     """
     model = learn(docs, labelled, list(weights), learning, id_col, text_col, domain_col)
     plan = fit(store(memberships(docs, model, id_col, text_col), "memberships"), model.names, weights, how)
-    place, columns = docs.columns.index(text_col), docs.columns
     u = F.xxhash64(F.col(id_col), F.col(text_col)) / F.lit(2.0**64) + 0.5
 
-    def repeat(batch: pa.RecordBatch) -> pa.RecordBatch:
-        p = np.array([model.membership((t.as_py() or "").encode())[1] for t in batch.column(place)])
-        n = _copies(plan.of(p), batch.column(len(columns)).to_numpy())
-        return batch.select(columns).take(pa.array(np.repeat(np.arange(batch.num_rows), n)))
+    def times(batch: pa.RecordBatch) -> np.ndarray:
+        p = np.array([model.membership(t.as_py())[1] for t in batch.column(1)])
+        return _copies(plan.of(p), batch.column(2).to_numpy())
 
-    return map_batches(docs.withColumn("_u", u), repeat, docs.schema)
+    return repeat_rows(docs, [utf8(text_col), u], times)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverlay.llm.batches import map_batches, runs, utf8
+from coverlay.llm.batches import map_batches, repeat_rows, runs, utf8
 from coverlay.operators.stage import store
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -311,13 +311,11 @@ def score(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "
 
 def clean(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model doesn't call toxic, unshuffled and with all columns as they are."""
-    place = docs.columns.index(text_col)
 
-    def keep(batches):
-        for batch in batches:
-            texts, ok = [(t.as_py() or "").encode() for t in batch.column(place)], []
-            for part in runs([len(t) for t in texts]):
-                ok += [model.score(m) < 0.5 for m in model.marginals([_words(t) for t in texts[part]])]
-            yield batch.filter(pa.array(ok, pa.bool_()))
+    def keep(batch: pa.RecordBatch) -> np.ndarray:
+        texts, ok = [t.as_py() for t in batch.column(1)], []
+        for part in runs([len(t) for t in texts]):
+            ok += [model.score(m) < 0.5 for m in model.marginals([_words(t) for t in texts[part]])]
+        return np.array(ok, dtype=np.int64)
 
-    return docs.mapInArrow(keep, docs.schema)
+    return repeat_rows(docs, [utf8(text_col)], keep)
