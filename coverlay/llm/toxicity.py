@@ -31,8 +31,8 @@ class Training:
     documents: int = 6000
     chains: int = 20_000
     features: int = 50_000
-    support: int = 3
-    evidence: float = 4.0
+    support: int = 5
+    evidence: float = 4.5
     rounds: int = 80
     penalty: float = 1e-5
 
