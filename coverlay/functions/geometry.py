@@ -52,6 +52,17 @@ def decode(geom) -> Column:
     return _call("cv_decode", geom)
 
 
+def multi(geom) -> Column:
+    """Single parts as collections of one part; other geometries as they are. Plain byte functions, no kernel."""
+    g = F.col(geom) if isinstance(geom, str) else geom
+    head = F.hex(F.substring(g, 1, 5))
+    out = g
+    for single, many in ((1, 4), (2, 5), (3, 6)):
+        is_one = head.isin(f"01{single:02X}000000", f"00000000{single:02X}")
+        out = F.when(is_one, F.concat(F.unhex(F.lit(f"01{many:02X}00000001000000")), g)).otherwise(out)
+    return out
+
+
 def line(points) -> Column:
     return _call("cv_line", points)
 

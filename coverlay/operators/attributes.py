@@ -61,9 +61,15 @@ def append(df: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def remap_key(df: DataFrame, linkage: DataFrame, key: str, old: str, new: str) -> DataFrame:
-    """Replace an old key by its new one; rows whose key is not in the linkage are dropped."""
-    link = linkage.select(F.col(old).alias(key), F.col(new).alias("_new"))
-    return df.join(link, key).withColumn(key, F.col("_new")).select(*df.columns)
+    """Replace an old key by its new one; rows whose key is not in the linkage are dropped.
+
+    A row is never multiplied: a key in use that the linkage ties to two different new keys is an error
+    (:func:`ambiguous` lists them beforehand). Linkage rows said twice count once.
+    """
+    link = linkage.groupBy(F.col(old).alias(key)).agg(F.min(new).alias("_new"), F.max(new).alias("_other"))
+    twice = F.concat(F.lit("two new keys for "), F.col(key).cast("string"))
+    one = F.when(F.col("_new").eqNullSafe(F.col("_other")), F.col("_new")).otherwise(F.raise_error(twice))
+    return df.join(link, key).withColumn(key, one).select(*df.columns)
 
 
 def unmapped(df: DataFrame, linkage: DataFrame, key: str, old: str) -> DataFrame:
@@ -71,9 +77,9 @@ def unmapped(df: DataFrame, linkage: DataFrame, key: str, old: str) -> DataFrame
     return df.join(linkage.select(F.col(old).alias(key)), key, "left_anti")
 
 
-def ambiguous(linkage: DataFrame, old: str) -> DataFrame:
-    """Old keys with more than one new key; re-keying would multiply their rows."""
-    return linkage.groupBy(old).agg(F.count(F.lit(1)).alias("matches")).where(F.col("matches") > 1)
+def ambiguous(linkage: DataFrame, old: str, new: str) -> DataFrame:
+    """Old keys with more than one new key; :func:`remap_key` refuses them."""
+    return linkage.groupBy(old).agg(F.countDistinct(new).alias("matches")).where(F.col("matches") > 1)
 
 
 def lead_over_all(df: DataFrame, order: Sequence[str], values: Sequence[str], partitions: int | None = None) -> DataFrame:

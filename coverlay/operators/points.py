@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -94,17 +95,22 @@ def nearest_on_segments(points: DataFrame, segments: DataFrame, on: Sequence[str
 
 def nearest_outline(
     points: DataFrame, layer: DataFrame, cell: float, point_id: str, layer_id: str, on: Sequence[str] = (),
-    radius: float | None = None, max_radius: float = 1e6, max_segments: int = 64,
+    radius: float | None = None, max_segments: int = 64,
 ) -> DataFrame:
     """Nearest feature outline for every point, exact: ``point columns, layer_id, nearest, dist``; ties are kept.
 
     Search boxes grow fourfold; a point is settled once its best distance is within the box it searched, so
-    nothing outside could be nearer. Points without any partner under ``on`` stay out.
+    nothing outside could be nearer. The search ends at the joint extent of both layers, where everything has been
+    seen. Points without any partner under ``on`` stay out, as do points without coordinates.
     """
     r = radius or cell
+    points = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
     # short runs of the outline: small boxes, and no point is measured against a whole border
     lines = layer.select(*on, layer_id, F.explode(G.chop(G.boundary("geom"), max_segments)).alias("_outline"))
+    farthest = _joint_extent(points, lines)
     todo, found = points, None
+    if on:
+        todo = todo.join(cut(lines.select(*on).distinct()), list(on), "left_semi")
     while True:
         left = todo.withColumn("_pt", G.point("x", "y"))
         hits = spatial_join(left, lines, None, max(cell, r), on=on, left_geom="_pt", right_geom="_outline", expand=r)
@@ -114,8 +120,15 @@ def nearest_outline(
         settled = cut(best_per_key(hits, [point_id], "dist").dropDuplicates([point_id, layer_id, "nearest"]))
         found = settled if found is None else found.unionByName(settled)
         todo = cut(todo.join(settled, point_id, "left_anti"))
-        if on:
-            todo = todo.join(lines.select(*on).distinct(), list(on), "left_semi")
-        if r >= max_radius or todo.isEmpty():
+        if r >= farthest or todo.isEmpty():
             return found
         r *= 4
+
+
+def _joint_extent(points: DataFrame, lines: DataFrame) -> float:
+    """Diagonal of the box around both layers; no point is farther than that from any outline. 0 if either is empty."""
+    b = lines.select(G.bounds("_outline").alias("b")).agg(F.min("b.xmin"), F.min("b.ymin"), F.max("b.xmax"), F.max("b.ymax")).first()
+    p = points.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
+    if b[0] is None or p[0] is None:
+        return 0.0
+    return math.hypot(max(b[2], p[2]) - min(b[0], p[0]), max(b[3], p[3]) - min(b[1], p[1])) * (1 + 1e-9)

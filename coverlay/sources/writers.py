@@ -30,10 +30,8 @@ def coordinates_json(nested, decimals: int = 5) -> Column:
     """Coordinates of a parts → rings → points array as GeoJSON text, rounded, trailing zeros dropped."""
 
     def num(v):
-        text = F.format_number(F.round(v, decimals), decimals)
-        plain = F.regexp_replace(F.regexp_replace(text, ",", ""), r"(\.\d*?)0+$", "$1")
-        out = F.regexp_replace(plain, r"\.$", "")
-        return F.when(out == "-0", "0").otherwise(out)
+        text = v.cast(f"decimal(30,{decimals})").cast("string")
+        return F.regexp_replace(text, r"\.?0+$", "") if decimals else text
 
     def arr(col, f):
         return F.concat(F.lit("["), F.array_join(F.transform(col, f), ","), F.lit("]"))
@@ -95,10 +93,13 @@ def delimited_columns(display: DataFrame) -> DataFrame:
 
 
 def external_table_ddl(name: str, path: str) -> str:
-    """Definition of a table over :func:`write_delimited` output."""
+    """Definition of a table over :func:`write_delimited` output.
+
+    ``geom`` is declared binary, as its consumers read it; the bytes of the file are the WKB in hex digits.
+    """
     quoted = path.replace("'", "''")
     return (
-        f"CREATE TABLE {name} (locality_pid STRING, locality_name STRING, postcode STRING, state STRING, geom STRING) "
+        f"CREATE TABLE {name} (locality_pid STRING, locality_name STRING, postcode STRING, state STRING, geom BINARY) "
         f"USING csv OPTIONS (path '{quoted}', sep '|')"
     )
 

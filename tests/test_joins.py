@@ -168,9 +168,12 @@ def test_delete_keeps_unknown(spark):
 def test_remap_reports_losses(spark):
     d = spark.createDataFrame([("a", 1), ("b", 2), ("z", 3)], "pid string, v int")
     link = spark.createDataFrame([("a", "A"), ("b", "B"), ("b", "B2")], "old string, new string")
-    assert sorted(r.pid for r in A.remap_key(d, link, "pid", "old", "new").collect()) == ["A", "B", "B2"]
+    with pytest.raises(Exception, match="two new keys for b"):
+        A.remap_key(d, link, "pid", "old", "new").collect()
+    said_twice = link.where("new <> 'B2'").union(link.where("old = 'a'"))
+    assert sorted(tuple(r) for r in A.remap_key(d, said_twice, "pid", "old", "new").collect()) == [("A", 1), ("B", 2)]
     assert [r.pid for r in A.unmapped(d, link, "pid", "old").collect()] == ["z"]
-    assert [r.old for r in A.ambiguous(link, "old").collect()] == ["b"]
+    assert [r.old for r in A.ambiguous(link, "old", "new").collect()] == ["b"]
 
 
 EDGE = "x1 double, y1 double, x2 double, y2 double"

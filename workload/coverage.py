@@ -166,10 +166,10 @@ def mut5(spark, sf):
     return A.set_from(d, best, ["k"], ["locality_pid"]).select("k", "locality_pid")
 
 
-@query("mut6", f"WITH {L.LOC} SELECT k, ((x1 - x0) * (y1 - y0) - CASE WHEN holed THEN 4 ELSE 0 END)::DOUBLE AS area FROM loc WHERE j = 3")
+@query("mut6", f"WITH {L.LOC} SELECT k, ((x1 - x0) * (y1 - y0) - CASE WHEN holed THEN 4 ELSE 0 END)::DOUBLE AS area FROM loc WHERE j <> 4")
 def mut6(spark, sf):
     d = L.localities(spark, sf)
-    shells = d.where(F.col("j") == 3).select("k", "state", G.fill_holes("geom").alias("geom"))
+    shells = d.where(F.col("j") != 4).select("k", "state", G.fill_holes("geom").alias("geom"))
     cut = display.cut_out(shells, "k", d.where(F.col("j") == 4).select("state", "geom"), L.CFG, on=["state"])
     return cut.select("k", G.area("geom").alias("area"))
 
@@ -205,9 +205,9 @@ def ovl3(spark, sf):
     return j.select("k", G.area(G.difference("geom", "geom2")).alias("area"))
 
 
-@query("ovl4", f"WITH {L.LOC} SELECT k, round((x1 - x0) * (y1 - y0) + (x1 - x0) + (y1 - y0) + 0.5, 6)::DOUBLE AS area FROM loc WHERE j <> 3")
+@query("ovl4", f"WITH {L.LOC} SELECT k, round((x1 - x0) * (y1 - y0) + (x1 - x0) + (y1 - y0) + 0.5 - CASE WHEN holed THEN 1 ELSE 0 END, 6)::DOUBLE AS area FROM loc")
 def ovl4(spark, sf):
-    d = L.localities(spark, sf).where(F.col("j") != 3)
+    d = L.localities(spark, sf)
     return d.select("k", F.round(G.area(G.buffer("geom", 0.5, 1)), 6).alias("area"))
 
 
@@ -234,7 +234,7 @@ def ovl7(spark, sf):
     return pieces.select("zone_id", (F.col("i") + 1).alias("piece"), F.round(G.area("piece"), 9).alias("area"))
 
 
-@query("ovl16", f"WITH {L.LOC} SELECT k, ((x1 - x0) * (y1 - y0) - CASE WHEN holed AND b % 3 = 2 THEN 4 ELSE 0 END)::DOUBLE AS area FROM loc WHERE j = 3 AND postcode IS NOT NULL")
+@query("ovl16", f"WITH {L.LOC} SELECT k, ((x1 - x0) * (y1 - y0) - CASE WHEN holed AND b % 3 = 2 THEN 4 ELSE 0 END)::DOUBLE AS area FROM loc WHERE postcode IS NOT NULL AND postcode <> 'NA'")
 def ovl16(spark, sf):
     """Polygons inside a polygon of another code are cut out of it."""
     d = L.localities(spark, sf).where(display.coded(L.CFG)).select("k", "j", "postcode", G.fill_holes("geom").alias("geom"))
@@ -242,7 +242,7 @@ def ovl16(spark, sf):
     islands = spatial_join(d.select("postcode", "geom"), inner, G.contains, 16.0, where=F.col("postcode") != F.col("postcode2"))
     masks = islands.select("postcode", F.col("geom2").alias("geom"))
     out = display.cut_out(d, "k", masks, L.CFG, on=["postcode"])
-    return out.where(F.col("j") == 3).select("k", G.area("geom").alias("area"))
+    return out.select("k", G.area("geom").alias("area"))
 
 
 @query("agg3", f"""WITH {L.LOC}{L.ZONES} SELECT zone_id, (8 - sum({L.overlap('zx0', 'zy0', 'zx1', 'zy1')}))::DOUBLE AS area
@@ -393,31 +393,34 @@ _V = """v AS (SELECT k, s.seq, lon + CASE WHEN s.seq IN (2, 3) THEN side ELSE 0
  FROM ll, (SELECT unnest([1, 2, 3, 4, 5]) AS seq) s)"""
 
 
-@query("qa4", f"WITH {L.LONLAT}, {_V} SELECT k, 1::SMALLINT AS polygon_num, 1::SMALLINT AS ring_num, seq::INT AS point_num, x::DECIMAL(9,6)::DOUBLE AS longitude, y::DECIMAL(8,6)::DOUBLE AS latitude FROM v WHERE k % 3 <> 0")
+@query("qa4", f"WITH {L.LONLAT}, {_V} SELECT k, 1::SMALLINT AS polygon_num, 1::SMALLINT AS ring_num, seq::INT AS point_num, x::DECIMAL(9,6)::DOUBLE AS longitude, y::DECIMAL(8,6)::DOUBLE AS latitude FROM v")
 def qa4(spark, sf):
-    v = vertices(lonlat_boxes(spark, sf).where(F.col("k") % 3 != 0).select("k", "geom"), "k")
+    v = vertices(lonlat_boxes(spark, sf).select("k", "geom"), "k")
     return v.withColumns({"longitude": F.col("longitude").cast("double"), "latitude": F.col("latitude").cast("double")})
 
 
 def _retraced(spark, sf):
     """Boxes in longitude and latitude; every fifth ring passes its second vertex twice."""
-    d = L.lonlat(spark, sf).where(F.col("k") % 3 != 0)
+    d = L.lonlat(spark, sf)
     x, y, s = F.col("lon"), F.col("lat"), F.col("side")
     ring = N.box_ring(x, y, x + s, y + s)
     twice = F.concat(F.slice(ring, 1, 3), F.slice(ring, 2, 4))
     return d.select("k", G.encode(F.array(F.array(F.when(F.col("k") % 5 == 0, twice).otherwise(ring)))).alias("geom"))
 
 
-@query("qa5", f"""WITH {L.LONLAT}, s AS (SELECT k, unnest([lon + side, lon + side]) AS x, unnest([lat, lat + side]) AS y FROM ll WHERE k % 3 <> 0 AND k % 5 = 0)
-SELECT k, 1::INT AS part, 1::INT AS ring, x::DECIMAL(8,5)::DOUBLE AS longitude, y::DECIMAL(7,5)::DOUBLE AS latitude, 2::BIGINT AS cnt FROM s""")
+@query("qa5", f"""WITH {L.LONLAT}, s AS (SELECT k,
+   unnest(CASE WHEN k % 5 = 0 THEN [lon + side, lon + side, lon + side, lon + side, lon] ELSE [lon + side, lon + side, lon] END) AS x,
+   unnest(CASE WHEN k % 5 = 0 THEN [lat, lat + side, lat, lat + side, lat + side] ELSE [lat, lat + side, lat + side] END) AS y FROM ll)
+SELECT k, 1::INT AS part, 1::INT AS ring, x::DECIMAL(8,5)::DOUBLE AS longitude, y::DECIMAL(7,5)::DOUBLE AS latitude, count(*) AS cnt
+FROM s GROUP BY ALL HAVING count(*) > 1""")
 def qa5(spark, sf):
     d = qa.duplicate_vertices(_retraced(spark, sf), "k")
     return d.withColumns({"longitude": F.col("longitude").cast("double"), "latitude": F.col("latitude").cast("double")})
 
 
-@query("qa6", f"WITH {L.LONLAT}, {_V} SELECT k, 1::INT AS part, 1::INT AS ring, seq::INT AS seq FROM v WHERE k % 3 <> 0 AND x::DECIMAL(8,5) = 114.57813 AND y::DECIMAL(7,5) = -42.17188")
+@query("qa6", f"WITH {L.LONLAT}, {_V} SELECT k, 1::INT AS part, 1::INT AS ring, seq::INT AS seq FROM v WHERE x::DECIMAL(8,5) = 114.57813 AND y::DECIMAL(7,5) = -42.17188")
 def qa6(spark, sf):
-    d = lonlat_boxes(spark, sf).where(F.col("k") % 3 != 0).select("k", "geom")
+    d = lonlat_boxes(spark, sf).select("k", "geom")
     v = qa.vertex_positions(d, F.lit("114.57813").cast("decimal(8,5)"), F.lit("-42.17188").cast("decimal(7,5)"), "k")
     return v.select("k", "part", "ring", "seq")
 

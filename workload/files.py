@@ -9,6 +9,7 @@ from coverlay.functions import geometry as G
 from coverlay.sources import readers as R
 from coverlay.sources import writers as Wr
 from workload import layers as L
+from coverlay.operators.stage import store
 from workload.registry import query, scratch, table
 from workload.relational import _BOX, lonlat_boxes
 
@@ -75,18 +76,20 @@ def snk1(spark, sf):
     return spark.read.parquet(path).withColumn("area", G.area("geom")).drop("geom")
 
 
-_SHELL = "'[[' || " + " || ',' || ".join(
-    "'[' || {0} || ',' || {1} || ']'".format(
-        *(f"rtrim(rtrim(printf('%.5f', {e}), '0'), '.')" for e in p)
-    ) for p in [("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")]) + " || ']]'"
+def _ring_sql(x0: str, y0: str, x1: str, y1: str) -> str:
+    num = lambda e: f"rtrim(rtrim(printf('%.5f', {e}), '0'), '.')"
+    return "'[' || " + " || ',' || ".join(f"'[' || {num(x)} || ',' || {num(y)} || ']'" for x, y in [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]) + " || ']'"
+
+
+_SHELL = f"'[' || {_ring_sql('x0', 'y0', 'x1', 'y1')} || CASE WHEN holed THEN ',' || {_ring_sql('hx0', 'hy0', 'hx1', 'hy1')} ELSE '' END || ']'"
 
 
 @query("snk2", f"""WITH {L.LOC} SELECT '{{"type":"Feature","geometry":{{"type":"MultiPolygon","coordinates":[' || {_SHELL} || ']}},"properties":{{"gid":' || k ||
  ',"locality_pid":"' || locality_pid || '","locality_name":"' || locality_name || '","postcode":"' || coalesce(postcode, '') || '","state":"' || state ||
- '","locality_class":"' || locality_class || '","address_count":' || address_count || ',"street_count":' || street_count || '}}}}' AS value FROM loc WHERE j <> 3""")
+ '","locality_class":"' || locality_class || '","address_count":' || address_count || ',"street_count":' || street_count || '}}}}' AS value FROM loc""")
 def snk2(spark, sf):
     path = scratch(spark, "geojson")
-    d = L.localities(spark, sf).where(F.col("j") != 3).withColumn("gid", F.col("k"))
+    d = L.localities(spark, sf).withColumn("gid", F.col("k"))
     Wr.write_geojson(d, path)
     return spark.read.text(path)
 
@@ -106,7 +109,11 @@ def snk4(spark, sf):
     Wr.write_delimited(_display(spark, sf), path)
     name = "ext_" + path.split("/")[-2].replace("-", "_")
     spark.sql(Wr.external_table_ddl(name, path))
-    return spark.table(name).groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.sum(G.area(F.unhex("geom"))).alias("area"))
+    try:
+        out = spark.table(name).groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.sum(G.area(F.unhex(F.col("geom").cast("string")))).alias("area"))
+        return store(out, "external")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 @query("snk5", f"WITH {L.LONLAT} SELECT k, {_BOX} AS value FROM ll")

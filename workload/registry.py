@@ -32,15 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a table that is stored in fewer splits than there are cores to all of them before geometry is built.
-
-    Large tables have more splits than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new output folder on the storage that the session's checkpoints use."""
     return f"{checkpoint_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}/{name}"

@@ -17,7 +17,7 @@ from coverlay.operators.simplify import simplify_coverage, thin_by_zoom
 from coverlay.operators.stage import number_rows
 from coverlay.sources.readers import fix_point_geometry
 from workload import layers as L
-from workload.registry import query, spread, table
+from workload.registry import query, table
 from workload.relational import BRAND_CELLS, dirty, lonlat_boxes
 
 
@@ -97,9 +97,11 @@ def geo11(spark, sf):
     return with_bounds(L.localities(spark, sf).select("k", "geom")).drop("geom")
 
 
-@query("geo12", f"WITH {L.LOC} SELECT k, 1::INT AS parts FROM loc")
+@query("geo12", f"WITH {L.LOC} SELECT k, 'MultiPolygon' AS kind, 1::INT AS parts, {L.LOC_AREA}::DOUBLE AS area FROM loc")
 def geo12(spark, sf):
-    return L.localities(spark, sf).select("k", F.size(G.decode("geom")).alias("parts"))
+    """Promotion to multi; promoting twice changes nothing."""
+    d = L.localities(spark, sf).withColumn("geom", G.multi(G.multi("geom")))
+    return d.select("k", G.kind("geom").alias("kind"), G.num_parts("geom").alias("parts"), G.area("geom").alias("area"))
 
 
 @query("geo13", f"WITH {L.LOC} SELECT k, CASE WHEN holed THEN 10 ELSE 5 END::INT AS points, round({L.LOC_AREA}, 6)::DOUBLE AS area FROM loc")
@@ -150,7 +152,7 @@ def _albers_sql() -> str:
     e2 = g.GRS80_F * (2 - g.GRS80_F)
     e = e2 ** 0.5
     return f"""v AS (SELECT k, i, radians(lon + CASE WHEN i IN (1, 2) THEN side ELSE 0 END) AS lam, radians(lat + CASE WHEN i IN (2, 3) THEN side ELSE 0 END) AS phi
-  FROM ll, (SELECT unnest([0, 1, 2, 3]) AS i) n WHERE side > 0.001),
+  FROM ll, (SELECT unnest([0, 1, 2, 3]) AS i) n),
  q AS (SELECT k, i, lam, {1 - e2!r} * (sin(phi) / (1 - {e2!r} * sin(phi) ** 2) - ln((1 - {e!r} * sin(phi)) / (1 + {e!r} * sin(phi))) / {2 * e!r}) AS q FROM v),
  a AS (SELECT k, i, {g.GRS80_A} * sqrt({c['c']!r} - {c['n']!r} * q) / {c['n']!r} AS rho, {c['n']!r} * (lam - radians({g.ALBERS_LON0})) AS th FROM q),
  e AS (SELECT k, i, rho * sin(th) AS ex, {c['rho0']!r} - rho * cos(th) AS ny FROM a),
@@ -160,7 +162,7 @@ def _albers_sql() -> str:
 
 @query("geo16", f"WITH {L.LONLAT}, {_albers_sql()} SELECT k, round(abs(sum(cr)) / 2) AS square_metres FROM s GROUP BY 1")
 def geo16(spark, sf):
-    d = lonlat_boxes(spark, sf).where(F.col("side") > 0.001)
+    d = lonlat_boxes(spark, sf)
     return d.select("k", F.round(N.area(geodesy.albers_nested("nested"))).alias("square_metres"))
 
 
@@ -247,11 +249,11 @@ _RING = " || ',' || ".join(
     [("lon", "lat"), ("lon + side", "lat"), ("lon + side", "lat + side"), ("lon", "lat + side"), ("lon", "lat")])
 
 
-@query("geo25", f"WITH {L.LONLAT} SELECT k, '[[[' || {_RING} || ']]]' AS coordinates FROM ll WHERE side > 0.001")
+@query("geo25", f"WITH {L.LONLAT} SELECT k, '[[[' || {_RING} || ']]]' AS coordinates FROM ll")
 def geo25(spark, sf):
     from coverlay.sources.writers import coordinates_json
 
-    d = lonlat_boxes(spark, sf).where(F.col("side") > 0.001)
+    d = lonlat_boxes(spark, sf)
     return d.select("k", coordinates_json(F.col("nested"), 5).alias("coordinates"))
 
 
@@ -267,7 +269,7 @@ AMPLITUDE = 2.0 ** -12
 
 def bumpy_nested(spark, sf):
     """A 16 × 16 box per customer, a vertex at every unit, alternate ones pushed out by 1/4096."""
-    c = spread(table(spark, sf, "customer").select(F.col("c_custkey").alias("k")))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).repartition("k")
     x, y = F.lit(32.0) * (F.col("k") % 32), F.lit(32.0) * F.floor(F.col("k") / 32)
     c = c.withColumns({"x": x, "y": y})
 
