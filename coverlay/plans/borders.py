@@ -67,10 +67,17 @@ def clip_to_layer(
 
 
 def corridors(states: DataFrame, state_tiles: DataFrame, cfg: CleanConfig) -> DataFrame:
-    """Border corridors trimmed to land: ``corridor_id, state, geom``. Any state that meets a corridor takes part."""
+    """Border corridors trimmed to land: ``corridor_id, state, geom``. Any state that meets a corridor takes part.
+
+    A corridor can be as long as a border, so it is cut into tiles before it meets the tiles of states; the clipped
+    tiles are united level by level, and no group spans a whole border.
+    """
     overlaps = number_rows(band_overlaps(border_bands(state_lines(states), cfg), cfg), "_id")
-    clipped = clip_to_layer(overlaps.select("_id", "geom"), "_id", state_tiles, ["state_gid", "state"], cfg)
-    return number_rows(clipped.select("state", "geom"), "corridor_id")
+    small = number_rows(tiles(overlaps.select("_id", "geom"), ["_id"], cfg), "_tile")
+    clipped = clip_to_layer(small.select("_tile", "_id", "geom"), "_tile", state_tiles, ["state_gid", "state"], cfg)
+    keys = ["_id", "state_gid", "state"]
+    whole = dissolve_parts(cut(clipped.select(*keys, "geom")), keys)
+    return number_rows(whole.select("state", "geom"), "corridor_id")
 
 
 def zones(corridor_layer: DataFrame, cfg: CleanConfig) -> DataFrame:

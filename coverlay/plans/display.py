@@ -27,7 +27,7 @@ def full_resolution(pieces: DataFrame, bdys: DataFrame, cfg: CleanConfig) -> Dat
     whole = dissolve_local(parts, ["locality_pid"])
     names = bdys.select("locality_pid", "locality_name", "postcode", "state")
     return whole.join(names, "locality_pid").select(
-        "locality_pid", "locality_name", "postcode", "state", "geom", F.lit(None).cast("decimal(20,3)").alias("area")
+        "locality_pid", "locality_name", "postcode", "state", G.multi("geom").alias("geom"), F.lit(None).cast("decimal(20,3)").alias("area")
     )
 
 
@@ -39,7 +39,7 @@ def display_localities(full: DataFrame, bdys: DataFrame, cfg: CleanConfig) -> Da
     """Thinned localities with all attributes: ``gid`` and the attribute columns, ``geom``."""
     parts = full.select("locality_pid", F.explode(G.polygons(thinned("geom", cfg))).alias("geom"))
     whole = dissolve_local(parts, ["locality_pid"])
-    return number_rows(bdys.select(*ATTRIBUTES).join(whole, "locality_pid").select(*ATTRIBUTES, "geom"), "gid")
+    return number_rows(bdys.select(*ATTRIBUTES).join(whole, "locality_pid").select(*ATTRIBUTES, G.multi("geom").alias("geom")), "gid")
 
 
 def _filled(df: DataFrame, keys: list[str], cfg: CleanConfig) -> DataFrame:
@@ -96,4 +96,4 @@ def display_postcodes(display: DataFrame, cfg: CleanConfig) -> DataFrame:
         dissolve_parts(explode(pc, "postcode", "state"), ["postcode", "state"]), ["postcode", "state"]
     )
     free = explode(none, "state").select(F.lit(None).cast("string").alias("postcode"), "state", "geom")
-    return number_rows(coded_rows.unionByName(free), "gid")
+    return number_rows(coded_rows.unionByName(free).withColumn("geom", G.multi("geom")), "gid")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from coverlay.functions import geometry as G
 from coverlay.plans import CleanConfig, clean, gaps, qa, split
-from coverlay.plans.clean import shift_fix_points
+from coverlay.plans.clean import ready, shift_fix_points
 from coverlay.sources import readers as R
 from coverlay.sources import writers as Wr
 
@@ -92,7 +92,21 @@ def test_whole_run(spark, shapes, hot_cell):
     codes = {(r.postcode, r.a) for r in out["postcodes"].select("postcode", F.round(G.area("geom"), 2).alias("a")).collect()}
     assert {("1000", 100.0), ("2000", 100.0)} <= codes
     assert out["invalid"].count() == 0 and out["empty"].count() == 0
-    qa.check_contract(out["display"], ["locality_pid"], ["locality_name", "state", "geom"], {"Polygon", "MultiPolygon"})
+    qa.check_contract(out["display"], ["locality_pid"], ["locality_name", "state", "geom"], {"MultiPolygon"})
+
+
+def test_inputs_are_made_ready(spark, shapes):
+    """One SRID decides whether fix points move; fixed-width codes lose their padding."""
+    bdys = spark.createDataFrame([("a", "12  ", 7844), ("b", None, 7844)], "locality_pid string, postcode string, srid int")
+    points = shapes([(1, "POINT (140 -30)")])
+    same, moved = ready(bdys, points)
+    assert same.columns == ["locality_pid", "postcode"] and sorted(str(r.postcode) for r in same.collect()) == ["12", "None"]
+    at = moved.first()
+    assert at.x != 140.0 and abs(at.x - 140.0) < 1e-3
+    old, there = ready(bdys.withColumn("srid", F.lit(4283)), points)
+    assert there.first().x == 140.0
+    with pytest.raises(ValueError):
+        ready(bdys.drop("srid"), points)
 
 
 def test_contract_failures(shapes):

@@ -216,3 +216,17 @@ def test_no_direction_no_line(spark):
     got = d.select(N.azimuth(a, b).alias("z"), N.overshoot(a, b).alias("l")).collect()
     assert got[0].z is None and got[0].l is None
     assert got[1].z == 0.0 and got[1].l[0].y == pytest.approx(-1e-5) and got[1].l[1].y == pytest.approx(1 + 1e-5)
+
+
+def test_partners_beyond_any_radius_are_found(spark, shapes):
+    layer = shapes([(1, "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))")])
+    points = spark.createDataFrame([(1, 2.0, 0.5), (2, 5_000_000.0, 0.5), (3, None, 0.5)], "pt int, x double, y double")
+    near = nearest_outline(points, layer, 1.0, "pt", "id", radius=1.0)
+    assert sorted((r.pt, r.dist) for r in near.collect()) == [(1, 1.0), (2, 4_999_999.0)]
+    assert nearest_outline(points, layer.limit(0), 1.0, "pt", "id").count() == 0
+
+
+def test_multi_is_bytes_only(spark, shapes):
+    d = shapes([(1, "POINT (1 2)"), (2, "LINESTRING (0 0, 1 1)"), (3, "POLYGON ((0 0, 1 0, 1 1, 0 0))"), (4, "MULTIPOINT ((1 1))"), (5, None)])
+    got = d.select("id", G.kind(G.multi("geom")).alias("k"), G.num_parts(G.multi("geom")).alias("n")).orderBy("id").collect()
+    assert [r.k for r in got] == ["MultiPoint", "MultiLineString", "MultiPolygon", "MultiPoint", None] and [r.n for r in got][:4] == [1] * 4
