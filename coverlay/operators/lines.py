@@ -68,23 +68,26 @@ def _half(x1, y1, x2, y2) -> Column:
 
 
 def _double(state: DataFrame, keys: list[str]) -> DataFrame:
-    """Pointer doubling: every half-edge learns the last half-edge of its run, in log2(longest run) joins."""
+    """Pointer doubling: every half-edge learns the last half-edge of its run, in log2(longest run) joins.
+
+    A round writes the runs that are still open; ended ones were written when they ended and are join targets only.
+    """
+    columns = [*keys, "h", "last", "dist", "ended", "low"]
+    done, running = state.where("ended").select(*columns), state.where(~F.col("ended")).select(*columns)
     while True:
-        ahead = state.select(
+        ahead = done.unionByName(running).select(
             *keys, F.col("h").alias("last"), F.col("last").alias("_last"), F.col("dist").alias("_dist"),
             F.col("ended").alias("_ended"), F.col("low").alias("_low"),
         )
-        going = state.where(~F.col("ended")).join(ahead, [*keys, "last"])
-        going = going.select(
+        going = cut(running.join(ahead, [*keys, "last"]).select(
             *keys, "h", F.col("_last").alias("last"), (F.col("dist") + F.col("_dist")).alias("dist"),
             F.col("_ended").alias("ended"), F.least("low", "_low").alias("low"),
             (F.col("_ended") | (F.col("_low") < F.col("low"))).alias("moved"),
-        )
-        still = state.where("ended").withColumn("moved", F.lit(False))
-        state = cut(still.select(*going.columns).unionByName(going))
-        if state.where("moved").isEmpty():
-            return state.drop("moved")
-        state = state.drop("moved")
+        ))
+        if going.where("moved").isEmpty():
+            return done.unionByName(going.select(*columns))
+        done = done.unionByName(going.where("ended").select(*columns))
+        running = going.where(~F.col("ended")).select(*columns)
 
 
 def label_chains(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

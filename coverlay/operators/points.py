@@ -79,20 +79,6 @@ def points_in_areas(points: DataFrame, areas: DataFrame, cell: float, on: Sequen
     ).drop("_pt")
 
 
-def nearest_on_segments(points: DataFrame, segments: DataFrame, on: Sequence[str], point_id: str) -> DataFrame:
-    """Closest point of a keyed set of segments to each point: ``point_id, nearest (x, y), dist``.
-
-    For joins whose key already bounds the segments per point; a partially aggregated ``min_by``.
-    """
-    pts = points.select(*on, point_id, N.xy("x", "y").alias("_p"))
-    seg = segments.withColumns({"_a": N.xy("x1", "y1"), "_b": N.xy("x2", "y2")})
-    j = G.once(pts.join(seg, list(on)), "_q", N.project("_p", "_a", "_b"))
-    j = j.withColumn("_d", N.distance("_p", "_q"))
-    return j.groupBy(point_id).agg(
-        F.min_by("_q", F.struct("_d", "_q")).alias("nearest"), F.min("_d").alias("dist")
-    )
-
-
 def nearest_outline(
     points: DataFrame, layer: DataFrame, cell: float, point_id: str, layer_id: str, on: Sequence[str] = (),
     radius: float | None = None, max_segments: int = 64,
@@ -117,9 +103,9 @@ def nearest_outline(
         hits = G.once(hits, "nearest", G.nearest_point("_outline", "_pt")).drop("_pt", "_outline")
         hits = cut(hits.withColumn("dist", N.distance(N.xy("x", "y"), "nearest")).where(F.col("dist") <= r))
         # neighbouring runs share a segment and can report the same place twice
-        settled = cut(best_per_key(hits, [point_id], "dist").dropDuplicates([point_id, layer_id, "nearest"]))
+        settled = best_per_key(hits, [point_id], "dist").dropDuplicates([point_id, layer_id, "nearest"])
         found = settled if found is None else found.unionByName(settled)
-        todo = cut(todo.join(settled, point_id, "left_anti"))
+        todo = cut(todo.join(hits.select(point_id).distinct(), point_id, "left_anti"))
         if r >= farthest or todo.isEmpty():
             return found
         r *= 4

@@ -60,14 +60,16 @@ def localities_nested(spark: SparkSession, sf: str) -> DataFrame:
         F.when((j == 0) & (r == 4), F.lit("NA")).when(j < 2, F.concat(F.lit("1"), code))
         .when((j == 3) & (b % 3 != 1), F.concat(F.lit("2"), code)).when((j == 4) & (b % 3 != 0), F.concat(F.lit("3"), code))
     )
-    d = d.withColumns({"x0": x0, "y0": y0, "x1": x1, "y1": y1})
+    # computed once: inlined into every vertex they would outgrow generated code
+    corners = G.once(d.withColumn("postcode", postcode), "_c", F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+    d = corners.select("*", "_c.*").drop("_c")
     hx, hy = left + 10.0, F.col("oy") + 10.0
     shell = N.box_ring("x0", "y0", "x1", "y1")
     hole = N.box_ring(hx, hy, hx + 2.0, hy + 2.0)
     part = F.when((j == 3) & ~off, F.array(shell, hole)).otherwise(F.array(shell))
     return d.select(
         "k", "b", "r", "j", F.concat(F.lit("loc"), F.lpad(F.col("k").cast("string"), 10, "0")).alias("locality_pid"),
-        F.col("c_name").alias("locality_name"), postcode.alias("postcode"), "state",
+        F.col("c_name").alias("locality_name"), "postcode", "state",
         F.col("c_mktsegment").alias("locality_class"), (F.col("k") % 97).cast("int").alias("address_count"),
         (F.col("k") % 13).cast("int").alias("street_count"), F.array(part).alias("nested"), "x0", "y0", "x1", "y1",
     )
@@ -138,11 +140,26 @@ def cells_nested(spark: SparkSession, sf: str) -> DataFrame:
     return o.select("cell_id", "owner", F.array(F.array(N.box_ring(x, y, x + 1.0, y + 1.0))).alias("nested"))
 
 
-def brand_cells_nested(spark: SparkSession, sf: str) -> DataFrame:
-    """One unit square per part on a grid 32 wide, owned by its brand."""
+def brand_cells_nested(spark: SparkSession, sf: str, saws: bool = False) -> DataFrame:
+    """One unit square per part on a grid 32 wide, owned by its brand; ``saws``: with zigzag sides."""
     p = table(spark, sf, "part").select("p_partkey", "p_brand").repartition("p_partkey").select(F.col("p_partkey").alias("cell_id"), F.col("p_brand").alias("owner"))
     x, y = (F.col("cell_id") % 32).cast("double"), F.floor(F.col("cell_id") / 32).cast("double")
-    return p.select("cell_id", "owner", F.array(F.array(N.box_ring(x, y, x + 1.0, y + 1.0))).alias("nested"))
+    return p.select("cell_id", "owner", F.array(F.array(zigzag(x, y, x + 1.0, y + 1.0) if saws else N.box_ring(x, y, x + 1.0, y + 1.0))).alias("nested"))
+
+
+def zigzag(x0, y0, x1, y1, depth: float = 1 / 64):
+    """Ring of a box whose left and right sides are saws of four strokes; neighbours side by side share them exactly."""
+    h = (y1 - y0) / 4
+    teeth = [(0.0, 0), (depth, 1), (0.0, 2), (depth, 3), (0.0, 4)]
+    right = [(x1 + a, y0 + h * i) for a, i in teeth]
+    return N.ring([*right, *[(x0 + a, y0 + h * i) for a, i in reversed(teeth)]])
+
+
+def zigzag_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """One box of 16 by 16 per customer on a grid 32 wide, with saws for sides: ``k, geom``."""
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).repartition("k")
+    x, y = 16.0 * (F.col("k") % 32), 16.0 * F.floor(F.col("k") / 32)
+    return c.select("k", G.encode(F.array(F.array(zigzag(x, y, x + 16.0, y + 16.0)))).alias("geom"))
 
 
 def tracks(spark: SparkSession, sf: str) -> DataFrame:

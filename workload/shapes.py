@@ -8,14 +8,14 @@ from coverlay.functions import geodesy
 from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.functions import zoom as Z
-from coverlay.operators import points as P
+from coverlay.operators.points import nearest_outline
 from coverlay.operators.attributes import lead_over_all
 from coverlay.operators.dissolve import dissolve_parts
 from coverlay.operators.grid import with_bounds
 from coverlay.operators.lines import label_chains, chain_lines
 from coverlay.operators.simplify import simplify_coverage, thin_by_zoom
 from coverlay.operators.stage import number_rows
-from coverlay.sources.readers import fix_point_geometry
+from coverlay.sources.readers import detect_srid, fix_point_geometry
 from workload import layers as L
 from workload.registry import query, table
 from workload.relational import BRAND_CELLS, dirty, lonlat_boxes
@@ -82,8 +82,12 @@ def geo8(spark, sf):
 
 @query("geo9", "SELECT c_custkey AS k, CASE WHEN c_custkey % 7 <> 0 AND c_custkey % 5 = 0 THEN TRUE ELSE FALSE END AS empty, 'Polygon' AS kind, 4283::INT AS srid FROM customer")
 def geo9(spark, sf):
-    d = dirty(spark, sf).withColumn("srid", F.lit(4283))
-    return d.select("k", G.is_empty("geom").alias("empty"), G.kind("geom").alias("kind"), "srid")
+    """Kind, emptiness, and the SRID that the layer's extended WKB carries: one for the whole layer."""
+    d = dirty(spark, sf)
+    wkb = F.hex("geom")
+    ewkb = F.concat(F.substring(wkb, 1, 8), F.lit("20BB100000"), F.substring(wkb, 11, 1 << 30))
+    d = d.select("k", G.plain_wkb(F.unhex(ewkb)).alias("geom"), G.ewkb_srid(F.unhex(ewkb)).alias("srid"))
+    return d.select("k", G.is_empty("geom").alias("empty"), G.kind("geom").alias("kind"), F.lit(detect_srid(d)).alias("srid"))
 
 
 @query("geo10", f"WITH {L.POINTS} SELECT pt, x, y, 7844::INT AS srid FROM pts")
@@ -214,10 +218,10 @@ def geo21(spark, sf):
   FROM pts JOIN loc USING (b) WHERE j = 1)
 SELECT pt, round(min(d), 6) AS dist FROM n GROUP BY 1""")
 def geo22(spark, sf):
-    """Closest point on a keyed set of outlines, by projection on segments."""
-    seg = N.to_segments(L.localities_nested(spark, sf).where(F.col("j") == 1), "nested", ["b"])
-    near = P.nearest_on_segments(L.points(spark, sf), seg, ["b"], "pt")
-    return near.select("pt", F.round("dist", 6).alias("dist"))
+    """Closest point on the outlines of a point's block, through the grid."""
+    layer = L.localities(spark, sf).where(F.col("j") == 1).select("k", "b", "geom")
+    near = nearest_outline(L.points(spark, sf), layer, 16.0, "pt", "k", on=["b"], radius=16.0)
+    return near.select("pt", F.round("dist", 6).alias("dist")).distinct()
 
 
 @query("geo23", f"WITH {L.LOC} SELECT k, TRUE AS inside FROM loc")
@@ -361,20 +365,22 @@ FROM (SELECT owner, count(*) AS n FROM cells GROUP BY 1) c LEFT JOIN adj ON adj.
 
 @query("cov3", _FACES)
 def cov3(spark, sf):
-    """Shared-border simplification of a coverage; below the size of its corners it changes no area."""
-    cells = L.brand_cells_nested(spark, sf).select("owner", G.encode("nested").alias("geom"))
+    """Shared-border simplification of a coverage: saws along the borders become straight, corners stay."""
+    cells = L.brand_cells_nested(spark, sf, saws=True).select("owner", G.encode("nested").alias("geom"))
     parts = number_rows(dissolve_parts(cells, ["owner"], cell=8.0), "pid")
     out = simplify_coverage(parts, "pid", 0.25, 8.0).join(parts.select("pid", "owner"), "pid")
-    return out.groupBy("owner").agg(F.sum(G.area("geom")).alias("area"), F.sum(G.length("geom")).alias("perimeter"))
+    return out.groupBy("owner").agg(F.round(F.sum(G.area("geom")), 9).alias("area"), F.round(F.sum(G.length("geom")), 9).alias("perimeter"))
 
 
-@query("ovl15", f"WITH {L.AREAS} SELECT k, (2 * (x1 - x0) + 2 * (y1 - y0) + CASE WHEN j = 0 THEN 4 ELSE 0 END)::DOUBLE AS length FROM area")
+@query("ovl15", "SELECT c_custkey AS k, 64::DOUBLE AS length, 256::DOUBLE AS area, 5::INT AS points FROM customer")
 def ovl15(spark, sf):
-    out = simplify_coverage(L.areas(spark, sf), "k", 0.001, 16.0)
-    return out.select("k", G.length("geom").alias("length"))
+    """Saws shallower than the tolerance are thinned to their straight line, the same one for both neighbours."""
+    out = simplify_coverage(L.zigzag_boxes(spark, sf), "k", 0.05, 16.0)
+    return out.select("k", F.round(G.length("geom"), 9).alias("length"), F.round(G.area("geom"), 9).alias("area"), G.num_points("geom").alias("points"))
 
 
-@query("udf3", f"WITH {L.AREAS} SELECT k, ((x1 - x0) * (y1 - y0) - CASE WHEN j = 0 THEN 1 ELSE 0 END)::DOUBLE AS area FROM area")
+@query("udf3", "SELECT c_custkey AS k, round(32 + 8 * sqrt(16 + pow(1 / 64.0::DOUBLE, 2)), 9)::DOUBLE AS length, 256::DOUBLE AS area, 11::INT AS points FROM customer")
 def udf3(spark, sf):
-    out = simplify_coverage(L.areas(spark, sf), "k", 0.001, 16.0)
-    return out.select("k", G.area("geom").alias("area"))
+    """The layer function below the depth of the saws: every feature is rebuilt from shared chains as it was."""
+    out = simplify_coverage(L.zigzag_boxes(spark, sf), "k", 0.001, 16.0)
+    return out.select("k", F.round(G.length("geom"), 9).alias("length"), F.round(G.area("geom"), 9).alias("area"), G.num_points("geom").alias("points"))
