@@ -24,7 +24,8 @@ class Training:
     """Bounds of the labelled sample and of the model that is fitted on it.
 
     At most ``documents`` labelled rows of either class are used (those whose id hashes lowest), at most ``chains``
-    chains of them, and at most ``features`` features, each seen in ``support`` or more toxic documents.
+    chains of them (1.4 kB each on the driver), and at most ``features`` features, each seen in ``support`` or more
+    toxic documents.
     ``evidence`` is the log-odds from which a word of a toxic document counts as labelled toxic.
     """
 
@@ -141,31 +142,37 @@ class _Adam:
         return self.rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.999**self.t)) + 1e-9)
 
 
-def fit_chains(chains: list[tuple[list[str], list[int]]], names: list[str], how: Training) -> Crf:
-    """Maximum likelihood with an L2 penalty on labelled chains: words and one 0/1 tag for each."""
-    slot = {f: i for i, f in enumerate(names)}
+def encode(words: list[str], slot: dict[str, int]) -> np.ndarray:
+    """Feature numbers of each word, a row per word; features that the model doesn't know share the last number."""
+    nothing = len(slot)
+    return np.array([[slot.get(f, nothing) for f in features(w)] for w in words], dtype=np.int32)
+
+
+def fit_chains(chains: list[tuple[np.ndarray, np.ndarray]], names: list[str], how: Training, block: int = 2048) -> Crf:
+    """Maximum likelihood with an L2 penalty on labelled chains: the words' feature numbers and one 0/1 tag for each."""
     nothing, per = len(names), len(features("x"))
     grid = np.full((len(chains), CHAIN, per), nothing, dtype=np.int32)
-    tags, real = np.zeros((len(chains), CHAIN)), np.zeros((len(chains), CHAIN), bool)
-    for k, (words, marks) in enumerate(chains):
-        for i, w in enumerate(words):
-            grid[k, i] = [slot.get(f, nothing) for f in features(w)]
-        tags[k, : len(words)], real[k, : len(words)] = marks, True
+    tags, real = np.zeros((len(chains), CHAIN), np.int8), np.zeros((len(chains), CHAIN), bool)
+    for k, (numbers, marks) in enumerate(chains):
+        grid[k, : len(marks)], tags[k, : len(marks)], real[k, : len(marks)] = numbers, marks, True
     weights, bias, move = np.zeros(nothing + 1), -5.0, np.array([[0.0, -1.0], [-1.0, 0.0]])
     adams = _Adam(nothing + 1, 0.2), _Adam((), 0.1), _Adam((2, 2), 0.1)
-    whole = np.concatenate([np.zeros((len(chains), 1)), tags, np.zeros((len(chains), 1))], axis=1).astype(int)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (whole[:, :-1].ravel(), whole[:, 1:].ravel()), 1)
-    scale = max(1.0, tags.sum())
+    seen, edge = np.zeros((2, 2)), np.zeros((len(chains), 1), np.int8)
+    np.add.at(seen, (np.hstack([edge, tags]).ravel(), np.hstack([tags, edge]).ravel()), 1)
+    scale = max(1.0, float(tags.sum()))
     for _ in range(how.rounds):
-        emit = np.where(real, weights[grid].sum(axis=2) + bias, -30.0)
-        marginal, pairs, _ = _forward_backward(emit, move)
-        error = np.where(real, marginal - tags, 0.0)
-        push = np.bincount(grid.ravel(), np.repeat(error.ravel(), per), nothing + 1)
+        push, total, steps = np.zeros(nothing + 1), 0.0, np.zeros((2, 2))
+        for at in range(0, len(chains), block):  # bounds what the driver holds beside the chains themselves
+            part = slice(at, at + block)
+            emit = np.where(real[part], weights[grid[part]].sum(axis=2) + bias, -30.0)
+            marginal, pairs, _ = _forward_backward(emit, move)
+            error = np.where(real[part], marginal - tags[part], 0.0)
+            push += np.bincount(grid[part].ravel(), np.repeat(error.ravel(), per), nothing + 1)
+            total, steps = total + error.sum(), steps + pairs
         push[nothing] = 0
         weights -= adams[0].step(push / scale + how.penalty * weights)
-        bias -= float(adams[1].step(error.sum() / scale))
-        move = move - adams[2].step((pairs - seen) / scale)
+        bias -= float(adams[1].step(total / scale))
+        move = move - adams[2].step((steps - seen) / scale)
     return Crf({f: float(w) for f, w in zip(names, weights, strict=False) if w}, float(bias), move, empty=False)
 
 
@@ -240,24 +247,28 @@ def fit(docs: DataFrame, labels: DataFrame, how: Training = Training(), id_col:
     names = [r.feature for r in kept]
     telling = {r.feature for r in kept if r.odds >= how.evidence}
 
+    slot = {f: i for i, f in enumerate(names)}
+
     def chains(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         rows = []
         for text, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
             words = _words(text.as_py())
             for i in range(0, len(words), CHAIN):
                 part = words[i : i + CHAIN]
-                marks = [int(y and any(f in telling for f in features(w))) for w in part]
-                rows.append((bool(any(marks)), y, part, marks))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.bool_(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32())), strict=True)], names=["marked", "toxic", "words", "marks"]) if rows else None
+                marks = np.array([y and any(f in telling for f in features(w)) for w in part], dtype=np.int8)
+                rows.append((bool(marks.any()), y, encode(part, slot).tobytes(), marks.tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.bool_(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["marked", "toxic", "words", "marks"]) if rows else None
 
-    made = map_batches(sample, chains, "marked boolean, toxic int, words array<string>, marks array<int>")
+    made = map_batches(sample, chains, "marked boolean, toxic int, words binary, marks binary")
     # unmarked chains of toxic documents may hold what the counts were too few for: they teach nothing
     made = made.where(F.col("marked") | (F.col("toxic") == 0)).withColumn("lot", F.xxhash64("words"))
-    half = how.chains // 2
-    rows = [r for m in (True, False) for r in made.where(F.col("marked") == m).orderBy("lot", "words").limit(half).select("words", "marks").collect()]
-    if not any(any(r.marks) for r in rows):
+    picked = [made.where(F.col("marked") == m).orderBy("lot", "words").limit(how.chains // 2) for m in (True, False)]
+    rows = [r for part in picked for r in part.select("words", "marks").toLocalIterator()]
+    learnt = [(np.frombuffer(r.words, np.int32).reshape(-1, len(features("x"))), np.frombuffer(r.marks, np.int8)) for r in rows]
+    if not any(marks.any() for _, marks in learnt):
         return Crf()
-    model = fit_chains([(r.words, r.marks) for r in rows], names, how)
+    del rows
+    model = fit_chains(learnt, names, how)
 
     def summaries(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [_words(t.as_py()) for t in batch.column(0)]
