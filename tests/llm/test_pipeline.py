@@ -28,7 +28,7 @@ def test_stages_on_a_table(spark):
     # near copies: the smallest id of each component by all pairs
     two = store(named["near_duplicates"](spark, one, sf))
     rows = sorted((r.doc_id, r.text) for r in one.collect())
-    roots = plain_components([plain_fingerprint(t) for _, t in rows])
+    roots = plain_components([plain_fingerprint(t) for _, t in rows], C.NEAR_BITS)
     assert two.columns == COLUMNS and sorted(r.doc_id for r in two.collect()) == sorted({rows[i][0] for i in roots})
     # benchmark passages: every exact one goes, and whatever goes has a verified match
     three = store(named["decontamination"](spark, two, sf))

@@ -42,8 +42,8 @@ def test_whole_table_against_all_pairs(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("group", [3, 4096])
-def test_large_nodes_lose_no_link(spark, group):
+@pytest.mark.parametrize("most, group", [(4, 3), (4, 4096), (6, 40)])
+def test_large_nodes_lose_no_link(spark, most, group):
     """Chains, a dense ball and noise; small ``group`` drives every level and the dealing into runs."""
     rng = np.random.default_rng(3)
     values = set(rng.integers(0, 2**63, 40).tolist())
@@ -57,10 +57,10 @@ def test_large_nodes_lose_no_link(spark, group):
     values = sorted(values)
     signed = [v - 2**64 if v >= 2**63 else v for v in values]
     fps = spark.createDataFrame([(v,) for v in signed], "fp long")
-    found = components(S.links(S.top_nodes(fps, 4, group), 4))
+    found = components(S.links(S.top_nodes(fps, most, group), most))
     root = {r.node: r.root for r in found.collect()}
     groups = {}
-    for v, c in zip(signed, plain_components([v % 2**64 for v in values]), strict=True):
+    for v, c in zip(signed, plain_components([v % 2**64 for v in values], most), strict=True):
         groups.setdefault(c, set()).add(v)
     mine = {}
     for v in signed:
