@@ -18,7 +18,8 @@ from coverlay.operators.grid import cell_of, with_bounds
 from coverlay.operators.stage import cut
 
 _FAN = 8
-#: open polygons a layer may have left for the last, un-gridded merge without another level before it
+#: open polygons a layer may have left for the last, un-gridded merge without another level before it; the session
+#: setting ``spark.coverlay.fewOpenPolygons`` takes its place. The result is the same with any number.
 _FEW = 2000
 
 
@@ -51,7 +52,7 @@ def dissolve_parts(
     todo = with_bounds(d).select(
         *keys, "geom", cell_of(mid("xmin", "xmax"), size).alias("_cx"), cell_of(mid("ymin", "ymax"), size).alias("_cy")
     )
-    found = None
+    few, found = int(df.sparkSession.conf.get("spark.coverlay.fewOpenPolygons", str(_FEW))), None
     for _ in range(levels):
         parts = cut(_merge(todo, keys, size, reach))
         finished = parts.where("_done").select(*keys, "geom")
@@ -62,7 +63,7 @@ def dissolve_parts(
         open_rows = todo.count()
         if not open_rows:
             return found
-        if open_rows <= _FEW:
+        if open_rows <= few:
             break
     last = todo.groupBy(*keys).agg(G.union_agg("geom").alias("geom")).select(*keys, F.explode(G.polygons("geom")).alias("geom"))
     return found.unionByName(last)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coverlay.functions import geometry as G
 from coverlay.kernel import enable
@@ -69,14 +70,24 @@ def suggest_cell_size(df: DataFrame, geom: str = "geom") -> float:
     return size
 
 
-#: largest side, in bytes of geometry and keys spread over cells, that a join may broadcast
+#: largest side, in bytes of all its columns spread over cells, that a join may broadcast; the session setting
+#: ``spark.coverlay.broadcastLimit`` takes its place
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
-def _fits(side: DataFrame, geom: str) -> bool:
-    """Measure a side as it would be sent: one small aggregate."""
-    size = side.agg(F.sum(F.coalesce(F.length(geom), F.lit(0)) + 128)).first()[0]
-    return (size or 0) <= BROADCAST_LIMIT
+def _bytes(field: T.StructField) -> Column:
+    if isinstance(field.dataType, (T.BinaryType, T.StringType)):
+        return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 16
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0)) + 16
+    return F.lit(16)
+
+
+def _fits(side: DataFrame) -> bool:
+    """Measure a side as it would be sent, all columns: one small aggregate."""
+    limit = int(side.sparkSession.conf.get("spark.coverlay.broadcastLimit", str(BROADCAST_LIMIT)))
+    size = side.agg(F.sum(sum((_bytes(f) for f in side.schema), F.lit(0)))).first()[0]
+    return (size or 0) <= limit
 
 
 def _splits() -> Column:
@@ -92,7 +103,7 @@ def _refine(left: DataFrame, right: DataFrame, on: Sequence[str], cell: float, l
     )
     n = F.greatest("_nl", "_nr")
     hot = counts.where(n > F.lit(limit)).select(
-        *keys, F.least(F.ceil(F.log(n / F.lit(limit)) / F.log(F.lit(4.0))), F.lit(12)).cast("int").alias("_lv")
+        *keys, F.least(F.ceil(F.log(n / F.lit(limit)) / F.log(F.lit(4.0))), F.lit(26)).cast("int").alias("_lv")
     )
 
     def spread(df: DataFrame, p: str) -> DataFrame:
@@ -147,9 +158,9 @@ def spatial_join(
     l = explode_cells(l, cell, "_l", "_cx", "_cy")
     r = explode_cells(r, cell, "_r", "_cx", "_cy")
     px, py = F.greatest("_lxmin", "_rxmin"), F.greatest("_lymin", "_rymin")
-    if small == "left" and _fits(l, left_geom):
+    if small == "left" and _fits(l):
         l, refine_above = F.broadcast(l), None
-    elif small == "right" and _fits(r, right_geom):
+    elif small == "right" and _fits(r):
         r, refine_above = F.broadcast(r), None
     if refine_above:
         l, r, keys, size = _refine(l, r, on, cell, refine_above)
