@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Words that each of the two halves of the memory holds.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 _TAIL = re.compile(r"^([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)$")
 

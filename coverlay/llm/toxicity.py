@@ -95,7 +95,7 @@ class Crf:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         known, weights = self._known, self.weights
-        if len(known) > 500_000:
+        if len(known) > 250_000:
             known.clear()
         for w in set(words).difference(known):
             known[w] = self.bias + sum(weights.get(f, 0.0) for f in features(w))
