@@ -300,18 +300,20 @@ def _named(nodes: DataFrame, key: str, found: DataFrame) -> DataFrame:
 
 
 def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, most_whole: int = 43, most: int = 8,
-    width: int = 4, seed: int = 42, group: int = 4096,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, most_whole: int = 43,
+    most: int | None = None, width: int = 4, seed: int = 42, group: int = 4096,
 ) -> DataFrame:
     """``<id_col>, component_id`` per row: components of texts whose word shingles have a similarity of about 0.8 or more.
 
     64 bits are too few to tell a similarity of 0.8 from 0.6, so texts have fingerprints of ``width`` words. Texts link
-    that differ in at most ``most_whole`` of all bits, ``most`` of them in some word at most: each word goes through the
-    index of :func:`near_duplicates`, the whole fingerprint decides in its leaves. Texts of similarity s differ in
+    that differ in at most ``most_whole`` of all bits: each word goes through the index of :func:`near_duplicates` at
+    ``most`` bits, the whole fingerprint decides in its leaves. By default ``most`` is ``most_whole // width``, which some
+    word of every such pair keeps to, so the index loses none. Texts of similarity s differ in
     acos(2 s / (1 + s)) / pi of the bits on average: 39 of 256 at 0.8, 33 at 0.85. The defaults leave room for chance;
     some pairs between 0.7 and 0.8 link too. Nulls, repeated ids, wordless texts (they link to each
     other), clashing names and empty tables are as in :func:`near_duplicates`.
     """
+    most = most_whole // width if most is None else most
     rows = store(long_fingerprints(docs, id_col, text_col, shingle, seed, width), "fingerprints")
     nodes = store(rows.groupBy("whole", "words").agg(F.min("id").alias("least")), "nodes")
     apart = nodes.select(F.posexplode("words").alias("part", "fp"), "whole")

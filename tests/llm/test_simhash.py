@@ -89,6 +89,24 @@ def test_long_fingerprints_against_all_pairs(spark, group):
     assert {want[10**6 + k] for k in range(60)} == {10**6}
 
 
+def test_pairs_that_differ_much_in_every_word_link(spark):
+    """Near copies of 0.8 or more within the whole bound, at nine or more differing bits in each of the four words."""
+    rng, rows, pairs = np.random.default_rng(11), [], 0
+    while pairs < 6:
+        words = [f"t{x}" for x in rng.integers(0, 10**6, 200)]
+        other = list(words)
+        for at in rng.choice(np.arange(3, 195, 6), 4, replace=False):
+            other[at] = f"u{rng.integers(0, 10**6)}"
+        a, b = ({tuple(w[i : i + 5]) for i in range(196)} for w in (words, other))
+        x, y = (np.array(plain_long(" ".join(w)), dtype=np.uint64) for w in (words, other))
+        apart = np.bitwise_count(x ^ y)
+        if len(a & b) / len(a | b) >= 0.8 and apart.sum(dtype=int) <= 43 and apart.min() >= 9:
+            rows += [(2 * pairs, " ".join(words)), (2 * pairs + 1, " ".join(other))]
+            pairs += 1
+    got = S.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_similar_texts_link_and_others_do_not(spark):
     """Changing a fraction of the words gives a known similarity of five-word shingles: those of 0.85 and more link, those below 0.6 don't."""
     rng = np.random.default_rng(5)
