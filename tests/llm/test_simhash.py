@@ -107,6 +107,35 @@ def test_pairs_that_differ_much_in_every_word_link(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
 
 
+def test_links_are_what_shingle_sets_say(spark):
+    """All pairs of the table by their sets, and texts that share a fingerprint, or a component of fingerprints, but not their shingles."""
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
+    junk = "z " * 400
+    rows += [(10**6, junk + "a b c d e f g h"), (10**6 + 1, junk + "i j k l m n o p q r s t")]
+    base = [f"w{i * i % 977}" for i in range(400)]
+    for k in range(40):  # variants: neighbours are near copies, most others aren't
+        rows.append((2 * 10**6 + k, " ".join([*[f"v{i}" for i in range(9 * k)], *base[9 * k :]])))
+    words = [(t or "").encode().lower().split() for _, t in rows]
+    sets = [{b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            y = sets[j]
+            if 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 5 * len(x & y) >= 4 * len(x | y):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    want = {r[0]: rows[find(i)][0] for i, r in enumerate(rows)}
+    got = S.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_similar_texts_link_and_others_do_not(spark):
     """Changing a fraction of the words gives a known similarity of five-word shingles: those of 0.85 and more link, those below 0.6 don't."""
     rng = np.random.default_rng(5)
