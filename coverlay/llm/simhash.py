@@ -418,19 +418,20 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` with one document of each component: the one with the smallest id.
+    """The rows of ``docs`` with one row of each component: that of the smallest id, null last, then by a hash of its text.
 
-    Rows that repeat that id are repeated documents too: one of them stays, by order of its text. Rows without an id
-    can't be told apart: one of them stays if some component consists of such rows alone, else none. Components are
-    those of :func:`near_copies`; ``options`` are its settings.
+    Components are those of :func:`near_copies`; ``options`` are its settings. Ids needn't be unique: rows are told apart
+    by id and text, and of rows that share both one stays.
     """
-    placed = near_copies(docs.select(id_col, text_col), id_col, text_col, **options)
-    keep = placed.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
-    kept = docs.join(keep, docs[id_col].eqNullSafe(keep[id_col]), "left_semi")
-    repeated = placed.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(id_col).count().where("count > 1")
+    best = _placed(docs.select(id_col, text_col), id_col, text_col, **options).withColumn("key", F.struct(F.col("id").isNull().alias("none"), "id", "mark"))
+    heads = best.groupBy("root").agg(F.min("key").alias("key"))
+    heads = store(heads.select(F.col("key.id").alias("_id"), F.col("key.mark").alias("_mark")), "kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), _mark(text_col).alias("_mark"))
+    kept = rows.join(heads, rows["_id"].eqNullSafe(heads["_id"]) & (rows["_mark"] == heads["_mark"]), "left_semi")
+    repeated = store(kept.groupBy("_id", "_mark").count().where("count > 1").select("_id", "_mark"), "repeated")
     if repeated.isEmpty():
-        return kept
-    twice = kept.join(repeated, kept[id_col].eqNullSafe(repeated[id_col]), "left_semi")
-    once = kept.join(repeated, kept[id_col].eqNullSafe(repeated[id_col]), "left_anti")
-    first = twice.groupBy(id_col).agg(F.min_by(F.struct(*twice.columns), F.xxhash64(*twice.columns)).alias("row"))
-    return once.unionByName(first.select("row.*"))
+        return kept.select("row.*")
+    same = [kept["_id"].eqNullSafe(repeated["_id"]), kept["_mark"] == repeated["_mark"]]
+    once, twice = kept.join(repeated, same, "left_anti"), kept.join(repeated, same, "left_semi")
+    first = twice.groupBy("_id", "_mark").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return once.select("row.*").unionByName(first.select("row.*"))

@@ -155,6 +155,16 @@ def test_similar_texts_link_and_others_do_not(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    """Distinct texts under one id or none all stay; a copy goes even if its id is the smallest of another component."""
+    text = lambda k: " ".join(f"{k}x{i}" for i in range(60))
+    rows = [(None, text(k)) for k in range(5)] + [(7, text(10 + k)) for k in range(5)]
+    rows += [(8, text(20)), (9, text(20)), (9, text(21)), (None, text(22)), (None, text(22)), (3, text(23)), (3, text(23))]
+    kept = S.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [*rows[:10], (8, text(20)), (9, text(21)), (None, text(22)), (3, text(23))]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 def test_whole_table_against_all_pairs(spark):
     docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
     texts = dict(docs.select("doc_id", "text").collect())
