@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -14,6 +15,10 @@ from coverlay.llm.batches import map_batches, repeat_rows, utf8
 from coverlay.operators.stage import store
 
 
+#: Gradient steps after which a fit that isn't near its targets goes on by Newton steps.
+_PATIENCE = 20
+
+
 @dataclass(frozen=True)
 class Learning:
     """Bounds of the classifier: labelled rows used per domain (those whose id hashes lowest), and words known.
@@ -29,7 +34,9 @@ class Learning:
 @dataclass(frozen=True)
 class Fit:
     """``total`` tokens to plan for, as a multiple of the corpus (None: the least that shrinks no domain). No rate is
-    below ``least_rate``; ``pull`` draws rates to 1; steps end at a relative error of ``close``, or after ``rounds``."""
+    below ``least_rate``; ``pull`` draws rates to 1, less so where it alone would keep a domain from its target by more than
+    the relative error ``close``. Gradient steps end at that error, or after ``rounds``; then Newton steps, which must settle in
+    as many."""
 
     total: float | None = 1.0
     least_rate: float = 0.0
@@ -125,18 +132,23 @@ def memberships(docs: DataFrame, model: Domains, id_col: str = "doc_id", text_co
 
 @dataclass
 class Rates:
-    """A fitted plan. A document's rate follows from its posterior alone: it replays the steps of the descent."""
+    """A fitted plan. A document's rate follows from its posterior alone: it replays the steps of the descent, or is
+    ``max(least, 1 + posterior · lean)`` if there is a ``lean``."""
 
     names: list[str]
     step: float = 0.0
     pull: float = 0.0
     least: float = 0.0
     gradients: list[np.ndarray] = field(default_factory=list)
-    tokens: list[np.ndarray] = field(default_factory=list)  # expected domain tokens before each step and after the last
+    lean: np.ndarray | None = None
+    tokens: list[np.ndarray] = field(default_factory=list)  # expected domain tokens before each pass and after the last
     target: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    error: float = 0.0  # largest relative distance of a domain's tokens from its target
 
     def of(self, p: np.ndarray) -> np.ndarray:
         """Rates of documents, a row of posteriors each."""
+        if self.lean is not None:
+            return np.maximum(self.least, 1 + p @ self.lean)
         r = np.full(len(p), max(1.0, self.least))
         for g in self.gradients:
             r = np.maximum(self.least, r - self.step * (p @ g + self.pull * (r - 1)))
@@ -151,14 +163,20 @@ def fit(rows: DataFrame, names: list[str], weights: dict[str, float], how: Fit =
     """Nonnegative rates whose expected domain tokens (rate × tokens × posterior) match ``weights`` of the total.
 
     Minimises the squared relative errors of domain totals plus ``pull`` times the token-weighted squares of rate - 1,
-    by projected gradient steps in the token-weighted metric. A step is one narrow pass over ``rows`` that sends one
-    vector per task; no state is kept between steps, so a lost executor costs a recomputed task. Documents without
-    tokens weigh nothing.
+    by projected gradient steps in the token-weighted metric. Where the first 20 of them don't come near the targets, as on
+    a corpus skewed to a domain with a small one, the minimum itself is computed: there a rate is
+    ``max(least_rate, 1 + posterior · lean)``, and the ``k`` numbers of ``lean`` are found by Newton steps on the dual,
+    whose curvature is the k-by-k Gram matrix of the documents above ``least_rate``. A step of either kind is one narrow
+    pass over ``rows`` that sends one vector per task; no state is kept between steps, so a lost executor costs a
+    recomputed task. Documents without tokens weigh nothing.
+
+    A domain is near its target within ``close``, or ten times ``pull``, which is what that may cost. If it isn't at the
+    minimum, ``pull`` is divided by ten for as long as that helps. What is missed then can't be reached with these rows
+    and ``least_rate``: ``error`` of the plan says by how much, with a warning.
     """
     k = len(names)
     share = np.array([weights[n] for n in names], dtype=float)
     share = share / share.sum()
-
     def sums(plan: Rates, square: bool):
         def one(batches):
             total, gram = np.zeros(k), np.zeros((k, k))
@@ -185,17 +203,71 @@ def fit(rows: DataFrame, names: list[str], weights: dict[str, float], how: Fit =
     bend = np.linalg.eigvalsh(gram / corpus / np.outer(target, target)).max() + how.pull
     plan = Rates(names, 1 / bend, how.pull, how.least_rate, target=target * corpus)
     now = now / corpus
-    for _ in range(how.rounds):
+    near = max(how.close, 10 * how.pull)
+    for done in range(how.rounds + 1):
         plan.tokens.append(now * corpus)
-        if np.abs(now / target - 1).max() < how.close:
+        error = np.abs(now / target - 1).max()
+        if error < how.close or done == how.rounds and error < near:
+            break
+        if done >= min(_PATIENCE, how.rounds) and error >= near:
+            now = _settle(rows, plan, corpus, target, near, how)
+            plan.tokens.append(now * corpus)
             break
         plan.gradients.append((now - target) / target**2)
         now = sums(plan, False)[0] / corpus
-    else:
-        plan.tokens.append(now * corpus)
+    plan.error = float(np.abs(now / target - 1).max())
+    if plan.error >= near:
+        warnings.warn(f"targets can't all be met: {dict(zip(names, np.round(now / target, 4).tolist(), strict=True))} of them", stacklevel=2)
     return plan
 
 
+def _settle(rows: DataFrame, plan: Rates, corpus: float, target: np.ndarray, near: float, how: Fit) -> np.ndarray:
+    """Set ``plan.lean`` to the minimum's and return its domain totals, as shares of the corpus; see :func:`fit`."""
+    k, lengths = len(target), 0.5 ** np.arange(14)
+
+    def sums(leans: list[np.ndarray]):
+        """For each lean: its dual value without targets, domain totals, Gram matrix of the documents above the least rate."""
+
+        def one(batches):
+            out = np.zeros((len(leans), 1 + k + k * k))
+            for batch in batches:
+                if batch.num_rows:
+                    n, p = batch.column(0).to_numpy().astype(float), _posteriors(batch, 1, k)
+                    for row, lean in zip(out, leans, strict=True):
+                        free = 1 + p @ lean
+                        r = np.maximum(how.least_rate, free)
+                        row[0] += n @ (r * free - r * r / 2)
+                        row[1 : k + 1] += (n * r) @ p
+                        row[k + 1 :] += ((p * (n * (free >= how.least_rate))[:, None]).T @ p).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array([out.ravel()], pa.list_(pa.float64()))], names=["v"])
+
+        parts = rows.select("n_tokens", "p").mapInArrow(one, "v array<double>").select(F.posexplode("v").alias("i", "x"))
+        found = dict(parts.groupBy("i").agg(F.sum("x")).collect())
+        v = np.array([found.get(i, 0.0) for i in range(len(leans) * (1 + k + k * k))]).reshape(len(leans), -1)
+        return v[:, 0], v[:, 1 : k + 1], v[:, k + 1 :].reshape(-1, k, k)
+
+    lean, pull, last = np.zeros(k), how.pull, np.inf
+    _, now, gram = (x[0] / corpus for x in sums([lean]))
+    for _ in range(how.rounds):
+        slope = now - target + pull * target**2 * lean
+        if np.abs(slope / target).max() < how.close / 100:
+            error = float(np.abs(now / target - 1).max())
+            if error < near or pull < 1e-10 or error > 0.9 * last:
+                break
+            last, pull = error, pull / 10
+            slope = now - target + pull * target**2 * lean
+        step = np.linalg.lstsq((gram + pull * np.diag(target**2)) / np.outer(target, target), slope / target, rcond=1e-15)[0] / target
+        tried = [lean - t * step for t in lengths]
+        value, totals, grams = sums(tried)
+        value = value / corpus + np.array([pull / 2 * (target * x) @ (target * x) - target @ x for x in tried])
+        best = int(np.argmin(value))
+        lean, now, gram = tried[best], totals[best] / corpus, grams[best] / corpus
+    else:
+        raise RuntimeError(f"rates did not settle in {how.rounds} passes: domain tokens are {now / target} of their targets")
+    plan.lean, plan.pull = lean, pull
+    return now
+
+
 def rates(rows: DataFrame, plan: Rates, id_col: str = "doc_id") -> DataFrame:
     """``<id_col>, n_tokens, domain, posterior, rate, copies`` from :func:`memberships`' rows.
 

@@ -57,3 +57,22 @@ def test_odd_rows(spark, docs, model):
     assert M.mix(frame, docs.limit(0), W).count() == len(rows)
     more = M.resample(frame, docs, W, how=M.Fit(total=None, least_rate=1.0))
     assert more.columns == frame.columns and {(r.doc_id, r.text) for r in more.collect()} == set(rows)
+
+
+@pytest.mark.parametrize("how", [M.Fit(), M.Fit(total=None, least_rate=1.0)])
+@pytest.mark.parametrize("corpus", [(70, 10, 10, 10), (90, 5, 2, 3)])
+def test_skewed_corpora_reach_their_targets(spark, corpus, how):
+    """Nearly all of a corpus in a domain with a small target."""
+    names, weights = ["de", "en", "es", "fr"], {"en": 0.5, "de": 0.17, "es": 0.16, "fr": 0.17}
+    rows = [(100, [float(i == d) for i in range(4)]) for d, n in enumerate(corpus) for _ in range(n)]
+    plan = M.fit(spark.createDataFrame(rows, "n_tokens long, p array<double>"), names, weights, how)
+    n, p = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    totals, rate = (plan.of(p) * n) @ p, plan.of(p)
+    assert np.abs(totals / plan.target - 1).max() < how.close and plan.error < how.close and rate.min() >= how.least_rate
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    rows = [(100, [1.0, 0.0]), (100, [0.5, 0.5])]
+    with pytest.warns(UserWarning, match="can't all be met"):
+        plan = M.fit(spark.createDataFrame(rows, "n_tokens long, p array<double>"), ["a", "b"], {"a": 0.1, "b": 0.9})
+    assert plan.error > 0.1
