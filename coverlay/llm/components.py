@@ -8,19 +8,29 @@ from pyspark.sql import functions as F
 from coverlay.operators.stage import store
 
 
+#: Tasks that the links of one node are dealt over, so that a hub is not one task's work.
+SALTS = 64
+
+
+def _with_least(rows: DataFrame) -> DataFrame:
+    """``rows`` (``a, b``) with ``m``, the smallest ``b`` of each ``a``. Smallest per salt, then of those, joined back per salt."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    parts = salted.groupBy("a", "salt").agg(F.min("b").alias("part"))
+    least = parts.groupBy("a").agg(F.min("part").alias("m"))
+    return salted.join(parts.join(least, "a").select("a", "salt", "m"), ["a", "salt"]).select("a", "b", "m")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node around it."""
-    both = edges.union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    both = _with_least(edges.union(edges.select("b", "a")))
+    return both.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    hung = down.join(least, "a")
-    return hung.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b")
+    hung = _with_least(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    ends = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))
+    return hung.select(F.explode(ends).alias("link")).select("link.*").where("a <> b")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -28,7 +38,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     ``edges`` has two columns of one orderable type; loops, repeated and reversed links are fine, links with a null
     are ignored, an empty table gives an empty one. Every round is written to the shared folder, and only the count
-    and a sum of hashes of a round reach the driver. Neighbours are never gathered: a hub is an aggregate joined back.
+    and a sum of hashes of a round reach the driver. Neighbours are never gathered: a hub's links are dealt over ``SALTS``
+    tasks, its smallest neighbour is an aggregate joined back to each.
     """
     a, b = edges.columns[:2]
     now = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct()

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from coverlay.llm.batches import map_batches, utf8
 from coverlay.operators.stage import store
@@ -22,12 +23,17 @@ class Fences:
     """A value is odd beyond ``spread`` quartile distances, and ``slack`` at least, outside its group's quartiles.
 
     A group with fewer than ``least`` documents is judged by its language's merged sketch, a language with fewer by the
-    sketch of all. ``k`` is the sketches' size: rank errors are near 1.7 / k.
+    sketch of all. A quartile read from a sketch is within ``accuracy`` times its value of the true one.
     """
 
     spread: float = 3.0
     least: int = 200
-    k: int = 2000
+    accuracy: float = 0.002
+
+    @property
+    def base(self) -> float:
+        """Ratio of the upper to the lower bound of a sketch's bucket."""
+        return (1 + self.accuracy) / (1 - self.accuracy)
 
 
 #: Measure, slack, and whether low values are odd as well as high ones.
@@ -91,47 +97,67 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
+#: Bucket of the value zero, below all others.
+_ZERO = -(1 << 30)
+
+
+def _bucket(value: str, how: Fences) -> Column:
+    return F.when(F.expr(value) > 0, F.ceil(F.ln(F.expr(value)) / np.log(how.base)).cast("int")).otherwise(_ZERO)
+
+
 def sketches(rows: DataFrame, groups: list[str], how: Fences = Fences()) -> DataFrame:
-    """One sketch per group and measure, built in each task and merged: ``groups, n, <measure>...``.
+    """The sketches, ``groups, measure, bucket, n``: how many documents have a measure in a bucket ``(base^(b-1), base^b]``.
 
-    Documents that fail the base rules don't shape what is usual. Sketches of several tables can be merged by
-    :func:`merged`, so a new delivery needs no look at old texts.
+    Counts are aggregated in each task and merged by adding, so the result depends on the values alone, not on their
+    order or partitions; a sketch has some thousand buckets at most, whatever its group's size. Documents that fail the
+    base rules don't shape what is usual. Sketches of several tables can be merged by :func:`merged`, so a new delivery
+    needs no look at old texts.
     """
-    aggs = [F.kll_sketch_agg_double(F.expr(value), how.k).alias(name) for name, value, _, _ in _MEASURES]
-    return rows.where(~base_failed()).groupBy(*groups).agg(F.count("*").alias("n"), *aggs)
+    values = F.array(*[F.struct(F.lit(name).alias("measure"), _bucket(value, how).alias("bucket")) for name, value, _, _ in _MEASURES])
+    return rows.where(~base_failed()).select(*groups, F.explode(values).alias("_")).groupBy(*groups, "_.measure", "_.bucket").agg(F.count("*").alias("n"))
 
 
 def merged(parts: DataFrame, groups: list[str]) -> DataFrame:
-    aggs = [F.kll_merge_agg_double(name).alias(name) for name, *_ in _MEASURES]
-    return parts.groupBy(*groups).agg(F.sum("n").alias("n"), *aggs)
+    return parts.groupBy(*groups, "measure", "bucket").agg(F.sum("n").alias("n"))
+
+
+def _limits(parts: DataFrame, groups: list[str], how: Fences) -> DataFrame:
+    """``groups, rows`` and the limits of each measure, from one level's sketches. Windows run over one sketch's buckets."""
+    whole = W.partitionBy(*groups, "measure")
+    ranked = parts.withColumns({"total": F.sum("n").over(whole), "upto": F.sum("n").over(whole.orderBy("bucket"))})
+    value = F.when(F.col("bucket") == _ZERO, 0.0).otherwise(F.pow(F.lit(how.base), F.col("bucket")) * (2 / (how.base + 1)))
+    quartile = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), value))
+    read = ranked.groupBy(*groups, "measure").agg(F.max("total").alias("rows"), quartile(0.25).alias("a"), quartile(0.75).alias("b"))
+    out = [F.max("rows").alias("rows")]
+    for name, _, slack, both in _MEASURES:
+        wide = F.greatest(how.spread * (F.col("b") - F.col("a")), F.lit(slack))
+        for side, limit in (("low", F.col("a") - wide if both else F.lit(-1.0)), ("high", F.col("b") + wide)):
+            out.append(F.max(F.when(F.col("measure") == name, limit)).alias(f"{name}_{side}"))
+    return read.groupBy(*groups).agg(*out)
 
 
 def fences(parts: DataFrame, groups: list[str], how: Fences = Fences()) -> DataFrame:
-    """``groups`` and for each measure ``<measure>_low`` and ``<measure>_high``, from the first level with enough rows."""
-    def limits(df: DataFrame, level: int) -> DataFrame:
-        out = [F.col("n").alias(f"n{level}")]
-        for name, _, slack, both in _MEASURES:
-            a, b = (F.kll_sketch_get_quantile_double(name, F.lit(q).cast("double")) for q in (0.25, 0.75))
-            wide = F.greatest(how.spread * (b - a), F.lit(slack))
-            out += [(a - wide if both else F.lit(-1.0)).alias(f"{name}_low{level}"), (b + wide).alias(f"{name}_high{level}")]
-        return df.select(*groups[: len(groups) - level], *out)
-
-    out = limits(parts, 0)
-    for level in range(1, len(groups) + 1):
-        upper = limits(merged(parts, groups[: len(groups) - level]), level)
-        if level == len(groups):
-            out = out.join(F.broadcast(upper))  # one row
-        else:
-            keys = groups[: len(groups) - level]
-            named = upper.withColumnsRenamed({k: f"_{k}" for k in keys})
-            match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-            out = out.join(named, match).drop(*[f"_{k}" for k in keys])
-    chosen: list = list(groups)
-    for name, *_ in _MEASURES:
-        for side in ("low", "high"):
-            pick = [F.when(F.col(f"n{i}") >= how.least, F.col(f"{name}_{side}{i}")) for i in range(len(groups))]
-            chosen.append(F.coalesce(*pick, F.col(f"{name}_{side}{len(groups)}")).alias(f"{name}_{side}"))
-    return out.select(*chosen)
+    """``groups`` and for each measure ``<measure>_low`` and ``<measure>_high``, from the first level with enough rows.
+
+    Sketches of no rows give no fences.
+    """
+    last, names = len(groups), [f"{name}_{side}" for name, *_ in _MEASURES for side in ("low", "high")]
+    levels = [_limits(parts if not k else merged(parts, groups[: last - k]), groups[: last - k], how) for k in range(last + 1)]
+    chosen, used = levels[0].select(*groups, F.col("rows").alias("rows0")), F.lit(last)
+    for k in range(1, last):
+        keys = groups[: last - k]
+        upper = levels[k].select(*[F.col(g).alias(f"_{g}") for g in keys], F.col("rows").alias(f"rows{k}"))
+        chosen = chosen.join(upper, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in keys]).drop(*[f"_{g}" for g in keys])
+    for k in reversed(range(last)):
+        used = F.when(F.col(f"rows{k}") >= how.least, F.lit(k)).otherwise(used)
+    chosen = chosen.select(*groups, used.alias("used"))
+    all_levels = None
+    for k, level in enumerate(levels):
+        keys = [(F.col(g) if i < last - k else F.lit(None).cast(parts.schema[g].dataType)).alias(f"_{g}") for i, g in enumerate(groups)]
+        level = level.select(F.lit(k).alias("level"), *keys, *names)
+        all_levels = level if all_levels is None else all_levels.unionByName(level)
+    match = [F.when(F.col("used") < last - i, F.col(g)).eqNullSafe(F.col(f"_{g}")) for i, g in enumerate(groups)]
+    return chosen.join(all_levels, [F.col("used") == F.col("level"), *match]).select(*groups, *names)
 
 
 def judge(
@@ -142,7 +168,7 @@ def judge(
     One row per row of ``docs``. Thresholds come from all documents of a row's language and source that pass the base
     rules; a null language or source is a group like any other. A text without words fails. If no document passes the
     base rules there are no fences and nothing is kept anyway. Repeated rows are counted and judged each; other columns
-    are ignored; an empty table gives an empty result. Texts are read once and never shuffled: counts are stored, and
+    are ignored; an empty table gives an empty result. Two runs give the same verdicts. Texts are read once and never shuffled: counts are stored, and
     the fences, a row per group, are joined to them.
     """
     groups = [f"group{i}" for i in range(len(by))]

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlay.llm.batches import map_batches, record, utf8
@@ -19,15 +19,6 @@ BITS = 64
 _BLOCK = 1 << 15
 
 
-def _further(values: np.ndarray, word: int) -> np.ndarray:
-    """Hashes for the ``word``-th 64 bits of a longer fingerprint: the values themselves, then mixes of them."""
-    if not word:
-        return values
-    out = values + np.uint64(word * 0x9E3779B97F4A7C15 % (1 << 64))
-    out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-
-
 def _shingles(text: bytes, shingle: int, seed: int) -> Iterator[np.ndarray]:
     """XXH64 values of a text's word shingles, a block at a time; a text of fewer words is one shingle, without words none."""
     words = text.lower().split()  # on bytes: A-Z only, and exactly the separators 0x20 and 0x09-0x0D
@@ -42,32 +33,15 @@ def _shingles(text: bytes, shingle: int, seed: int) -> Iterator[np.ndarray]:
         yield np.array([hashed(joined[i:j], seed) for i, j in zip(starts[at : at + _BLOCK], stops[at : at + _BLOCK], strict=True)], "<u8")
 
 
-def _majority(blocks: Iterable[np.ndarray], width: int) -> np.ndarray:
-    """The fingerprint: a bit is 1 if it is set in over half of all values."""
-    n, counts = 0, np.zeros(BITS * width, np.int64)
-    for values in blocks:
+def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
+    """SimHash of word shingles: a bit is 1 if it is set in over half of the shingles' XXH64 values."""
+    n, counts = 0, np.zeros(BITS, np.int64)
+    for values in _shingles(text, shingle, seed):
         n += len(values)
-        rows = np.stack([_further(values, w) for w in range(width)], axis=1).astype("<u8", copy=False)
-        bits = np.unpackbits(rows.view(np.uint8), axis=1, bitorder="little")
+        bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         for few in range(0, len(bits), 255):  # a byte holds the count of so many rows
             counts += bits[few : few + 255].sum(axis=0, dtype=np.uint8)
-    return np.packbits(counts * 2 > n, bitorder="little").view("<u8")
-
-
-def long_fingerprint(text: bytes, shingle: int, seed: int, width: int) -> np.ndarray:
-    """SimHash of word shingles in ``width`` words of 64 bits; the first one is :func:`fingerprint`."""
-    return _majority(_shingles(text, shingle, seed), width)
-
-
-def shingle_set(text: bytes, shingle: int, seed: int) -> np.ndarray:
-    """Distinct XXH64 values of a text's word shingles, sorted."""
-    blocks = list(_shingles(text, shingle, seed))
-    return np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, "<u8")
-
-
-def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
-    """SimHash of word shingles: a bit is 1 if it is set in over half of the shingles' XXH64 values."""
-    return int(long_fingerprint(text, shingle, seed, 1)[0])
+    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
@@ -81,26 +55,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_batches(docs.select(F.col(id_col), utf8(text_col)), one, f"id {kind}, fp long")
 
 
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, seed: int, width: int) -> DataFrame:
-    """``id, whole, words, hashes`` per row, no shuffle: what tells a text's set of shingles, and the set itself.
-
-    ``whole`` is the set's fingerprint of ``width`` words of 64 bits and 16 bytes that are a hash of the set, so texts
-    share it if they have the same shingles. ``words`` are the fingerprint's words as numbers, ``hashes`` the sorted set.
-    """
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingle_set(t, shingle, seed) for t in batch.column(1).to_pylist()]
-        fps = [_majority((s[i : i + _BLOCK] for i in range(0, len(s), _BLOCK)), width) for s in sets]
-        whole = [f.tobytes() + xxhash.xxh3_128_digest(s.tobytes()) for f, s in zip(fps, sets, strict=True)]
-        words = pa.ListArray.from_arrays(np.arange(len(fps) + 1, dtype=np.int32) * width, np.concatenate(fps).view(np.int64))
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(whole, pa.binary()), words, pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "whole", "words", "hashes"]
-        )
-
-    return map_batches(docs.select(F.col(id_col), utf8(text_col)), one, f"id {kind}, whole binary, words array<long>, hashes binary")
-
-
 # ---- the index inside one task: a tree over fingerprints in Gray order ----
 
 
@@ -118,15 +72,12 @@ class GrayTree:
 
     A node of level ``k`` spans ``FAN`` nodes of the level below. ``masks[k]`` marks the bits that all its members
     share and that no node above holds, ``patterns[k]`` their values, so a search adds up differences on its way down.
-    ``whole`` has a row per value: the longer fingerprint that it is one word of.
     """
 
     FAN = 16
 
-    def __init__(self, values: np.ndarray, whole: np.ndarray | None = None):
-        order = np.argsort(gray_rank(values), kind="stable")
-        self.order, self.values = order, values[order]
-        self.whole = None if whole is None else whole[order]
+    def __init__(self, values: np.ndarray):
+        self.values = values[np.argsort(gray_rank(values), kind="stable")]
         ands, ors = [self.values], [self.values]
         while len(ands[-1]) > 1:
             at = np.arange(0, len(ands[-1]), self.FAN)
@@ -146,17 +97,14 @@ class GrayTree:
             out.append((np.minimum.reduceat(out[-1][0], at), np.maximum.reduceat(out[-1][1], at)))
         return out
 
-    def forest(self, most: int, chunk: int = 1 << 16, most_whole: int = 0, apart: np.ndarray | None = None) -> np.ndarray:
+    def forest(self, most: int, chunk: int = 1 << 16) -> np.ndarray:
         """Pairs of positions in ``values`` that span the components of "at most ``most`` bits differ".
 
-        With longer fingerprints, also at most ``most_whole`` bits of those must differ. With ``apart``, a label per
-        position, the result isn't a forest but every such pair of different labels.
-
         Every fingerprint searches the tree. A node is left with all below it once its differences exceed ``most``,
         or if all below it are in the searcher's component already, which can't change the components.
         """
-        n, links, every = len(self.values), [], []
-        label = np.arange(n) if apart is None else apart
+        n, links = len(self.values), []
+        label = np.arange(n)
         spans, top, fan = self._spans(label), len(self.masks) - 1, np.arange(self.FAN)
         todo = [(top, q := np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64))]
         while todo:
@@ -176,13 +124,6 @@ class GrayTree:
                 ok = (node < len(self.masks[level - 1])) & ((node + 1) * self.FAN ** (level - 1) > q)  # each pair once
                 todo.append((level - 1, q[ok], node[ok], diff[ok]))
                 continue
-            if self.whole is not None:
-                same = np.bitwise_count(self.whole[q] ^ self.whole[node]).sum(axis=1, dtype=np.int64) <= most_whole
-                q, node = q[same], node[same]
-            if apart is not None:
-                new = label[q] != label[node]
-                every.append(np.stack([q[new], node[new]], axis=1))
-                continue
             before = len(links)
             for a, b in zip(q.tolist(), node.tolist(), strict=True):
                 if (x := label[a]) != (y := label[b]):
@@ -190,7 +131,7 @@ class GrayTree:
                     links.append((a, b))
             if len(links) > before:
                 spans = self._spans(label)
-        return np.concatenate(every) if every else np.array(links, dtype=np.int64).reshape(-1, 2)
+        return np.array(links, dtype=np.int64).reshape(-1, 2)
 
 
 # ---- top nodes as Spark keys ----
@@ -210,106 +151,73 @@ def _signed(mask: int) -> int:
 def top_nodes(fps: DataFrame, most: int, group: int = 4096, levels: int = 3) -> DataFrame:
     """Fingerprints under the top nodes that hold them: ``mask, pattern, run, fp``; every close pair meets in a node.
 
-    A column ``part`` in ``fps`` keeps its values apart, each has nodes of its own; other columns are carried along.
-
     Two values that differ in at most ``most`` bits agree on one of ``most + 1`` blocks, so a node for each block
     value is enough. A node with more than ``group`` members is replaced by nodes that hold a further block of the
     remaining bits. What is still larger after ``levels`` (members that share about half of all bits) is dealt into
     runs by hash, and each pair of runs becomes a node of its own; nothing is left out.
     """
     full, masks = (1 << BITS) - 1, [0]
-    kept, part = fps.columns, [c for c in fps.columns if c == "part"]
-    keys, run_name = ["mask", "pattern", *part], F.concat_ws("/", *part) if part else F.lit("")
-    here = fps.select(F.lit(0).cast("long").alias("mask"), *kept)
+    here = fps.select(F.lit(0).cast("long").alias("mask"), "fp")
     done = None
     for level in range(levels):
         finer = {m: [m | part for part in _split(full & ~m, most + 1)] for m in masks}
         branch = F.coalesce(*[
             F.when(F.col("mask") == _signed(m), F.array(*[F.lit(_signed(x)).cast("long") for x in sub])) for m, sub in finer.items()
         ])
-        here = here.select(F.explode(branch).alias("mask"), *kept).withColumn("pattern", F.expr("fp & mask"))
+        here = here.select(F.explode(branch).alias("mask"), "fp").withColumn("pattern", F.expr("fp & mask"))
         masks = [x for sub in finer.values() for x in sub]
-        large = store(here.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > group), "large-nodes")
-        small = here.join(large, keys, "left_anti").select("mask", "pattern", run_name.alias("run"), *kept)
+        large = store(here.groupBy("mask", "pattern").agg(F.count("*").alias("n")).where(F.col("n") > group), "large-nodes")
+        small = here.join(large, ["mask", "pattern"], "left_anti").select("mask", "pattern", F.lit("").alias("run"), "fp")
         done = small if done is None else done.unionByName(small)
         if large.isEmpty():
             return done
-        here = here.join(large, keys).select("mask", "pattern", "n", *kept)
+        here = here.join(large, ["mask", "pattern"]).select("mask", "pattern", "n", "fp")
         if level < levels - 1:
-            here = here.select("mask", *kept)
+            here = here.select("mask", "fp")
     runs = F.ceil(F.col("n") / group)
-    mine = F.pmod(F.xxhash64(*kept), runs)
+    mine = F.pmod(F.xxhash64("fp"), runs)
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), runs - 1), lambda r: F.concat_ws("-", F.least(r, mine), F.greatest(r, mine)))
-    pairs = F.transform(pairs, lambda r: F.concat_ws("/", run_name, r)) if part else pairs
-    return done.unionByName(here.select("mask", "pattern", F.explode(pairs).alias("run"), *kept))
+    return done.unionByName(here.select("mask", "pattern", F.explode(pairs).alias("run"), "fp"))
 
 
-def links(nodes: DataFrame, most: int, most_whole: int = 0, width: int = 1) -> DataFrame:
+def links(nodes: DataFrame, most: int) -> DataFrame:
     """``a, b``: links that keep together what belongs together in each top node, found in a tree per node.
 
-    If ``nodes`` has a column ``whole``, its bytes are what is linked, and pairs differ in ``most_whole`` bits at most of
-    the fingerprint that they begin with. With a column ``root`` too, all such pairs of different roots come out. A task reads its nodes one after the other from sorted rows; it holds one node's members at a time.
+    A task reads its nodes one after the other from sorted rows; it holds one node's members at a time.
     """
-    long, every = "whole" in nodes.columns, "root" in nodes.columns
-    kind = pa.binary() if long else pa.int64()
-    link = [("a", kind), ("b", kind)]
+    link = [("a", pa.int64()), ("b", pa.int64())]
 
     def search(batches):
         held: list[np.ndarray] = []
-        roots: list[np.ndarray] = []
         key = None
 
         def flush():
             if sum(map(len, held)) < 2:
                 return None
-            values, at = np.unique(np.concatenate(held), return_index=True)
-            apart = None
-            if long:
-                whole = values.view("<u8").reshape(len(values), -1)[:, :width]
-                tree = GrayTree(whole[:, key[3]].copy(), whole)
-                ends = values[tree.order]
-                if every:
-                    apart = np.unique(np.concatenate(roots)[at], return_inverse=True)[1][tree.order]
-            else:
-                tree = GrayTree(values)
-                ends = tree.values.view(np.int64)
-            found = tree.forest(most, most_whole=most_whole, apart=apart)
-            if not len(found):
-                return None
-            sides = [ends[found[:, i]] for i in (0, 1)]
-            return record(link, *(pa.array([x.tobytes() for x in v.view(f"V{v.itemsize}")] if long else v, kind) for v in sides))
+            tree = GrayTree(np.unique(np.concatenate(held)))
+            found = tree.forest(most)
+            ends = tree.values.view(np.int64)
+            return record(link, *(ends[found[:, i]] for i in (0, 1))) if len(found) else None
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             mask, pattern = (batch.column(i).to_numpy() for i in (0, 1))
-            run = batch.column(2).dictionary_encode().indices.to_numpy()
-            names = batch.column(2)
-            if long:
-                rows = batch.column(3).to_pylist()
-                fp = np.frombuffer(b"".join(rows), dtype=f"S{len(rows[0])}")
-                part = batch.column(4).to_numpy()
-                if every:
-                    rows = batch.column(5).to_pylist()
-                    root = np.frombuffer(b"".join(rows), dtype=f"S{len(rows[0])}")
-            else:
-                fp, part = batch.column(3).to_numpy().view(np.uint64), np.zeros(len(run), np.int32)
+            run, names = batch.column(2).dictionary_encode().indices.to_numpy(), batch.column(2)
+            fp = batch.column(3).to_numpy().view(np.uint64)
             cuts = np.flatnonzero((np.diff(mask) != 0) | (np.diff(pattern) != 0) | (np.diff(run) != 0)) + 1
             for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(fp)], strict=True):
-                this = (mask[i], pattern[i], names[i].as_py(), int(part[i]))
+                this = (mask[i], pattern[i], names[i].as_py())
                 if this != key:
                     if (out := flush()) is not None:
                         yield out
-                    held, roots, key = [], [], this
+                    held, key = [], this
                 held.append(fp[i:j])
-                if every:
-                    roots.append(root[i:j])
         if (out := flush()) is not None:
             yield out
 
     dealt = nodes.repartition("mask", "pattern", "run").sortWithinPartitions("mask", "pattern", "run")
-    rows = dealt.select("mask", "pattern", "run", *(["whole", "part"] if long else ["fp"]), *(["root"] if every else []))
-    return rows.mapInArrow(search, "a binary, b binary" if long else "a long, b long")
+    return dealt.select("mask", "pattern", "run", "fp").mapInArrow(search, "a long, b long")
 
 
 def near_duplicates(
@@ -326,108 +234,39 @@ def near_duplicates(
     """
     rows = store(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    named = _named(nodes, "fp", links(top_nodes(nodes.select("fp"), most, group), most))
+    named = _named(nodes, links(top_nodes(nodes.select("fp"), most, group), most))
     return rows.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def _named(nodes: DataFrame, key: str, found: DataFrame) -> DataFrame:
-    """``<key>, component_id``: the smallest ``least`` of each node's component."""
+def _named(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """``fp, component_id``: the smallest ``least`` in each fingerprint's component."""
     roots = components(found)
-    placed = nodes.join(roots, nodes[key] == roots.node, "left").select(key, "least", F.coalesce("root", key).alias("root"))
-    placed = store(placed, "roots")
+    placed = store(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
     heads = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return placed.join(heads, "root").select(key, "component_id")
-
-
-def _similar(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """``a, b, same`` for distinct pairs of sets: whether their Jaccard similarity is ``least`` or more, by the sets themselves."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("whole")).distinct()
-    at = nodes.join(ends, "whole").select("whole", "row")
-    sets = store(rows.select("row", "hashes").join(at, "row").select("whole", "hashes"), "shingle-sets")
-    left = pairs.join(sets.select(F.col("whole").alias("a"), F.col("hashes").alias("x")), "a")
-    both = left.join(sets.select(F.col("whole").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
-
-    def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
-        same = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
-            shared = 0
-            if min(len(x), len(y)) >= least * max(len(x), len(y)):
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-            same.append(shared >= least * (len(x) + len(y) - shared) - 1e-9)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], names=["a", "b", "same"])
+    return placed.join(heads, "root").select("fp", "component_id")
 
-    return store(map_batches(both, compare, "a binary, b binary, same boolean"), "compared")
 
-
-def _mark(text_col: str) -> Column:
-    return F.md5(utf8(text_col))
-
-
-def _in_order(found: DataFrame) -> DataFrame:
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _placed(
-    docs: DataFrame, id_col: str, text_col: str, shingle: int = 5, least: float = 0.8, most_whole: int = 55,
-    most: int | None = None, width: int = 4, seed: int = 42, group: int = 4096,
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 4, shingle: int = 4, seed: int = 42, group: int = 4096,
 ) -> DataFrame:
-    """``id, mark, root`` per row of ``docs``: a hash of the text, and what all rows of its component share."""
-    most = most_whole // width if most is None else most
-    marked = docs.select(F.struct(F.col(id_col).alias("id"), _mark(text_col).alias("mark")).alias("key"), F.col(text_col).alias("text"))
-    found = shingle_sets(marked, "key", "text", shingle, seed, width)
-    rows = store(found.select("id.id", "id.mark", "whole", "words", "hashes", F.monotonically_increasing_id().alias("row")), "shingle-sets")
-    nodes = store(rows.groupBy("whole", "words").agg(F.min("row").alias("row")), "nodes")
-    apart = nodes.select(F.posexplode("words").alias("part", "fp"), "whole")
-    first = store(_in_order(links(top_nodes(apart, most, group), most, most_whole, width)), "candidates")
-    seen = _similar(first, rows, nodes, least)
-    roots = components(seen.where("same").select("a", "b"))
-    if not seen.where("NOT same").isEmpty():
-        # links that only span the candidates may have stood for similar pairs: all pairs between components that they touch
-        touched = first.select(F.explode(F.array("a", "b")).alias("whole")).distinct()
-        touched = touched.join(roots, touched.whole == roots.node, "left").select("whole", F.coalesce("root", "whole").alias("root"))
-        again = store(apart.join(touched, "whole").select("part", "fp", "whole", "root"), "touched")
-        rest = _in_order(links(top_nodes(again, most, group), most, most_whole, width)).join(first, ["a", "b"], "left_anti")
-        more = _similar(store(rest, "candidates"), rows, nodes, least)
-        if not more.where("same").isEmpty():
-            roots = components(seen.unionByName(more).where("same").select("a", "b"))
-    named = nodes.select("whole").join(roots, nodes.whole == roots.node, "left").select("whole", F.coalesce("root", "whole").alias("root"))
-    return store(rows.select("id", "mark", "whole").join(named, "whole").select("id", "mark", "root"), "placed")
-
-
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``<id_col>, component_id`` per row: components of texts whose word shingles have a similarity of 0.8 or more.
-
-    Two texts link if the Jaccard similarity of their sets of ``shingle`` words is ``least`` or more, computed from the
-    sets. Compared are those whose fingerprints of ``width`` words of 64 bits differ in at most ``most_whole`` bits: each
-    word goes through the index of :func:`near_duplicates` at ``most`` bits, the whole fingerprint decides in its
-    leaves. By default ``most`` is ``most_whole // width``, which some word of every such pair keeps to, so the index
-    loses none. Sets of similarity s differ in acos(2 s / (1 + s)) / pi of the bits on average: 39 of 256 at 0.8, with a
-    standard deviation of 6, so the default of 55 leaves out about 2 in 1,000 pairs at exactly 0.8 and fewer above.
-
-    First links that span the candidates are compared; if some fail, every pair between the components so far is, as
-    far as these links touch them. ``component_id`` is the smallest id that links reach, the row's own included. Texts
-    without words link to each other. Repeated ids keep their rows, a null id gets its component's smallest id that isn't
-    null. Other columns are ignored; an empty table gives an empty result.
-    """
-    rows = _placed(docs, id_col, text_col, **options)
-    heads = rows.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rows.join(heads, "root").select(F.col("id").alias(id_col), "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with one row of each component: that of the smallest id, null last, then by a hash of its text.
 
-    Components are those of :func:`near_copies`; ``options`` are its settings. Ids needn't be unique: rows are told apart
-    by id and text, and of rows that share both one stays.
+    Components are those of :func:`near_duplicates`, so all texts without words (null, empty, white space) are one.
+    Ids needn't be unique: rows are told apart by id and text, and of rows that share both one stays. All columns
+    come back, whatever their names; an empty table gives an empty one.
     """
-    best = _placed(docs.select(id_col, text_col), id_col, text_col, **options).withColumn("key", F.struct(F.col("id").isNull().alias("none"), "id", "mark"))
-    heads = best.groupBy("root").agg(F.min("key").alias("key"))
-    heads = store(heads.select(F.col("key.id").alias("_id"), F.col("key.mark").alias("_mark")), "kept")
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), _mark(text_col).alias("_mark"))
-    kept = rows.join(heads, rows["_id"].eqNullSafe(heads["_id"]) & (rows["_mark"] == heads["_mark"]), "left_semi")
+    mark = F.md5(utf8(text_col))
+    marked = docs.select(F.struct(F.col(id_col).alias("id"), mark.alias("mark")).alias("key"), F.col(text_col).alias("text"))
+    rows = store(fingerprints(marked, "key", "text", shingle, seed), "fingerprints")
+    nodes = rows.groupBy("fp").agg(F.min(F.struct(F.col("id.id").isNull().alias("none"), "id.id", "id.mark")).alias("least"))
+    nodes = store(nodes, "nodes")
+    roots = components(links(top_nodes(nodes.select("fp"), most, group), most))
+    placed = nodes.join(roots, nodes.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
+    heads = store(placed.select(F.col("least.id").alias("_id"), F.col("least.mark").alias("_mark")), "kept")
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), mark.alias("_mark"))
+    kept = keyed.join(heads, keyed["_id"].eqNullSafe(heads["_id"]) & (keyed["_mark"] == heads["_mark"]), "left_semi")
     repeated = store(kept.groupBy("_id", "_mark").count().where("count > 1").select("_id", "_mark"), "repeated")
     if repeated.isEmpty():
         return kept.select("row.*")

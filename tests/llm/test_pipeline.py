@@ -10,7 +10,7 @@ import corpus_pipeline as C
 from coverlay.llm import decontaminate, toxicity
 from coverlay.operators.stage import store
 from tests.conftest import DATA
-from tests.llm.test_simhash import plain_long_components
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 from tests.llm.test_token_files import want_documents
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -25,10 +25,10 @@ def test_stages_on_a_table(spark):
     model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     one = store(named["toxicity"](spark, docs, sf))
     assert one.columns == COLUMNS and {r.doc_id for r in one.select("doc_id").collect()} == {r.doc_id for r in toxicity.score(docs, model).where("predicted = 0").collect()}
-    # near copies: the smallest id of each component by all pairs of long fingerprints
+    # near copies: the smallest id of each component by all pairs of fingerprints
     two = store(named["near_duplicates"](spark, one, sf))
     rows = sorted((r.doc_id, r.text) for r in one.collect())
-    roots = plain_long_components([t for _, t in rows])
+    roots = plain_components([plain_fingerprint(t) for _, t in rows])
     assert two.columns == COLUMNS and sorted(r.doc_id for r in two.collect()) == sorted({rows[i][0] for i in roots})
     # benchmark passages: every exact one goes, and whatever goes has a verified match
     three = store(named["decontamination"](spark, two, sf))

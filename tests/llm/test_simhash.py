@@ -32,129 +32,6 @@ def plain_components(fps, most=4):
     return [find(i) for i in range(len(fps))]
 
 
-def mixed(v, word):
-    if not word:
-        return v
-    v = (v + word * 0x9E3779B97F4A7C15) % 2**64
-    for _ in range(2):
-        v = (v ^ v >> 32) * 0xD6E8FEB86659FD93 % 2**64
-    return v
-
-
-def plain_long(text, k=5, width=4):
-    words = (text or "").encode().lower().split()
-    rows = [b" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))] if words else []
-    hashed = [xxhash.xxh64_intdigest(r, 42) for r in rows]
-    out = []
-    for w in range(width):
-        v = np.array([mixed(h, w) for h in hashed], dtype=np.uint64)
-        out.append(sum(1 << b for b in range(64) if 2 * int((v >> np.uint64(b) & np.uint64(1)).sum()) > len(v)))
-    return out
-
-
-def plain_long_components(texts, whole=43, most=8):
-    known = {}
-    for t in texts:
-        known.setdefault(t, None)
-    for t in known:
-        known[t] = plain_long(t)
-    values = np.array([known[t] for t in texts], dtype=np.uint64)
-    root = list(range(len(texts)))
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for i in range(len(texts)):
-        d = np.bitwise_count(values[:i] ^ values[i])
-        for j in np.flatnonzero((d.sum(axis=1, dtype=int) <= whole) & (d.min(axis=1) <= most)).tolist() if i else []:
-            a, b = find(i), find(j)
-            root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(texts))]
-
-
-@pytest.mark.parametrize("group", [4096, 8])
-def test_long_fingerprints_against_all_pairs(spark, group):
-    """A small ``group`` drives finer nodes and the dealing into runs; as each row is in thousands of them then, fewer rows."""
-    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
-    rows = sorted(docs.select("doc_id", "text").collect())[: 80 if group == 8 else None]
-    base = " ".join(f"w{i * i % 977}" for i in range(400)).split()
-    for k in range(60):  # a group of near copies with edits of their own
-        rows.append((10**6 + k, " ".join([*base[: 6 * k], f"new{k}", *base[6 * k + 1 :]])))
-    want = {r[0]: rows[c][0] for r, c in zip(rows, plain_long_components([t for _, t in rows]), strict=True)}
-    given = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id: r.component_id for r in S.near_copies(given, group=group).collect()} == want
-    assert {want[10**6 + k] for k in range(60)} == {10**6}
-
-
-def test_pairs_that_differ_much_in_every_word_link(spark):
-    """Near copies of 0.8 or more within the whole bound, at nine or more differing bits in each of the four words."""
-    rng, rows, pairs = np.random.default_rng(11), [], 0
-    while pairs < 6:
-        words = [f"t{x}" for x in rng.integers(0, 10**6, 200)]
-        other = list(words)
-        for at in rng.choice(np.arange(3, 195, 6), 4, replace=False):
-            other[at] = f"u{rng.integers(0, 10**6)}"
-        a, b = ({tuple(w[i : i + 5]) for i in range(196)} for w in (words, other))
-        x, y = (np.array(plain_long(" ".join(w)), dtype=np.uint64) for w in (words, other))
-        apart = np.bitwise_count(x ^ y)
-        if len(a & b) / len(a | b) >= 0.8 and apart.sum(dtype=int) <= 43 and apart.min() >= 9:
-            rows += [(2 * pairs, " ".join(words)), (2 * pairs + 1, " ".join(other))]
-            pairs += 1
-    got = S.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in rows}
-
-
-def test_links_are_what_shingle_sets_say(spark):
-    """All pairs of the table by their sets, and texts that share a fingerprint, or a component of fingerprints, but not their shingles."""
-    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
-    rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
-    junk = "z " * 400
-    rows += [(10**6, junk + "a b c d e f g h"), (10**6 + 1, junk + "i j k l m n o p q r s t")]
-    base = [f"w{i * i % 977}" for i in range(400)]
-    for k in range(40):  # variants: neighbours are near copies, most others aren't
-        rows.append((2 * 10**6 + k, " ".join([*[f"v{i}" for i in range(9 * k)], *base[9 * k :]])))
-    words = [(t or "").encode().lower().split() for _, t in rows]
-    sets = [{b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
-    root = list(range(len(rows)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i, x in enumerate(sets):
-        for j in range(i):
-            y = sets[j]
-            if 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 5 * len(x & y) >= 4 * len(x | y):
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    want = {r[0]: rows[find(i)][0] for i, r in enumerate(rows)}
-    got = S.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: r.component_id for r in got} == want
-
-
-def test_similar_texts_link_and_others_do_not(spark):
-    """Changing a fraction of the words gives a known similarity of five-word shingles: those of 0.85 and more link, those below 0.6 don't."""
-    rng = np.random.default_rng(5)
-    rows, want = [], {}
-    for g in range(60):
-        words = [f"t{x}" for x in rng.integers(0, 10**6, 500)]
-        sets = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
-        other = list(words)
-        for at in range(3, 500, 500 // (6 if g % 2 else 36)):
-            other[at] = f"u{rng.integers(0, 10**6)}"
-        a, b = sets(words), sets(other)
-        similarity = len(a & b) / len(a | b)
-        assert similarity >= 0.85 if g % 2 else similarity < 0.6
-        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(other))]
-        want[2 * g], want[2 * g + 1] = 2 * g, 2 * g if g % 2 else 2 * g + 1
-    got = S.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: r.component_id for r in got} == want
-
-
 def test_one_row_of_each_component_stays_whatever_the_ids(spark):
     """Distinct texts under one id or none all stay; a copy goes even if its id is the smallest of another component."""
     text = lambda k: " ".join(f"{k}x{i}" for i in range(60))
