@@ -26,7 +26,7 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, a similarity of about 0.8 or more."""
+    """One document of each group of near copies: fingerprints of four-word shingles that link at 4 or fewer differing bits."""
     return simhash.keep_one(docs)
 
 
