@@ -7,13 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coverlay.llm import arrow_stream, decontaminate, mixing, quality, quotes, secret_scan, simhash, token_files, toxicity, url_rules
+from coverlay.llm import (
+    arrow_stream, decontaminate, merkle, mixing, pieces, prefix_trie, quality, quotes, secret_scan, simhash, token_files, toxicity, url_rules,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 #: Its ids: 1 closes a packed document; 49407 is the end-of-text id, which no ordinary text gives.
 TOKENIZER, END_ID, SEPARATOR_ID = public_tokenizers.path("word_bpe_49k.json"), 1, 49407
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None):
@@ -99,3 +102,21 @@ def op5_mixing(spark, sf_dir):
 def op7_chat_quotes(spark, sf_dir):
     """All messages in reply order, without quotations."""
     return quotes.conversations(_table(spark, sf_dir, "conversations"))
+
+
+@query("op11_merkle", merkle.SQL)
+def op11_merkle(spark, sf_dir):
+    """Every document's leaf, roots and proof, and what the manifest says once newlines are deleted."""
+    return merkle.newlines_deleted(_table(spark, sf_dir, "documents"))
+
+
+@query("op12_pieces")
+def op12_pieces(spark, sf_dir):
+    """Digests of every document's ids and of the text that they decode to."""
+    return pieces.digests(_table(spark, sf_dir, "documents"), PIECES)
+
+
+@query("op13_prefix_trie", prefix_trie.SQL)
+def op13_prefix_trie(spark, sf_dir):
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
