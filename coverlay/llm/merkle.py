@@ -77,7 +77,7 @@ def with_paths(tree: list[DataFrame], above: DataFrame, fan: int) -> DataFrame:
     """Level 0 of ``tree`` with ``path``, the siblings of a leaf's ancestors from its own level up, and what ``above`` holds.
 
     ``above`` has a row per ``tree`` with the ``path`` over its last node and any further columns. Paths go down from parents to
-    children, so each level costs one join of its own size and not of the number of leaves.
+    children, so each level costs one join of its own size and not of the number of leaves; each is written once.
     """
     held = [c for c in above.columns if c not in ("tree", "path")]
     down = None
@@ -89,7 +89,7 @@ def with_paths(tree: list[DataFrame], above: DataFrame, fan: int) -> DataFrame:
             going = level.where("n > 1").join(parents, (F.col("tree") == F.col("_tree")) & (F.expr(f"pos div {fan}") == F.col("_pos"))).drop("_tree", "_pos")
             step = F.array(F.struct("left", "right")).cast(_PATH)
             here = here.unionByName(going.withColumn("path", F.concat(step, "path")))
-        down = here if k == 0 else here.select("tree", "pos", "path", *held)
+        down = here if k == 0 else store(here.select("tree", "pos", "path", *held), f"merkle-paths-{k}")
     return down
 
 
@@ -116,8 +116,8 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "d
     read = docs.select(
         F.col(id_col).alias("id"), F.col(group_col).cast("string").alias("source"), leaf({c: F.col(c) for c in fields}).alias("digest"), *[c.alias(n) for n, c in extra.items()]
     )
-    rows = number_by(read, ["source", "id", "digest"], "at")
-    rows = store(rows, "merkle-leaves")
+    read = store(read, "merkle-leaves")  # dealing by range looks at its rows twice
+    rows = store(number_by(read, ["source", "id", "digest"], "at"), "merkle-leaves")
     sources = number_by(rows.groupBy("source").agg(F.min("at").alias("start"), F.count("*").alias("n")), ["source"], "tree")
     sources = store(sources, "merkle-sources")
     most, count = sources.agg(F.max("n"), F.count("*")).first()
