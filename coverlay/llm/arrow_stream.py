@@ -112,7 +112,7 @@ def write_sequences(
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
-    """Documents as the files hold them: ``doc_id, start, n_tokens, ids_crc32``, one task per file.
+    """Documents as the files hold them: ``doc_id, start, n_tokens, ids_crc32``, dealt over as many tasks as files.
 
     ``start`` is the number of ids in all documents before it, over all shards. ``ids_crc32`` covers the ids as
     little-endian unsigned 32-bit integers. A file is read batch by batch; a document that spans batches is carried
@@ -126,7 +126,8 @@ def read_documents(shards: DataFrame) -> DataFrame:
 
     order = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)  # one short row per file
     placed = shards.select("path", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("base"))
-    return placed.repartition("path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # rows are short, what they stand for isn't: as many tasks as files, whatever the rows' bytes
+    return placed.repartition(max(1, shards.count()), "path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _documents(path: str, base: int):

@@ -85,8 +85,9 @@ def separator_counts(files: DataFrame, end_id: int, block_bytes: int = BLOCK_BYT
         totals = [s // w for s, w in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True)]
         return record(_BLOCKS, batch.column(0), pa.array([a // block_bytes for a in batch.column(3).to_pylist()]), pa.array(ends, pa.list_(pa.int64())), pa.array(totals, pa.int64()))
 
-    blocks = map_batches(files.select("path", "width").distinct(), cut, "path string, width int, size long, at long")
-    found = store(map_batches(blocks.repartition("path", "at"), scan, "path string, block long, ends array<long>, total long"), "separators")
+    blocks = store(map_batches(files.select("path", "width").distinct(), cut, "path string, width int, size long, at long"), "blocks")
+    tasks = max(1, blocks.count())  # rows are short, what they stand for isn't: a task per block, whatever the rows' bytes
+    found = store(map_batches(blocks.repartition(tasks, "path", "at"), scan, "path string, block long, ends array<long>, total long"), "separators")
     so_far = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     last = F.when(F.size("ends") > 0, F.element_at("ends", -1))
     stitched = found.withColumns({
