@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlay.functions import geometry as G
+from coverlay.functions import nested as N
 from coverlay.operators.grid import cell_of, with_bounds
+from coverlay.operators.halfedges import directed, oriented, outlines
 from coverlay.operators.stage import cut
 
 _FAN = 8
@@ -120,3 +122,14 @@ def outline_measures(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.abs(F.sum(cross) / 2).alias("area"),
         F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).alias("perimeter"),
     )
+
+
+def dissolve_exact(df: DataFrame, keys: Sequence[str], nested: str = "nested", band: float | None = None) -> DataFrame:
+    """``keys, nested``: one row per polygon of each key of an exact coverage, from its edges alone.
+
+    Shared edges cancel, what is left is linked into rings by half-edges (:mod:`coverlay.operators.halfedges`); no polygon is
+    read, and none is computed. Same result as :func:`dissolve_parts` where neighbours share edges vertex for vertex.
+    """
+    keys = list(keys)
+    segments = N.to_segments(df.select(*keys, oriented(nested).alias("_rings")), "_rings", keys)
+    return outlines(directed(outline_edges(segments, keys), keys), keys, band).drop("face")

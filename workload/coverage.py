@@ -9,6 +9,7 @@ from coverlay.functions import nested as N
 from coverlay.operators import attributes as A
 from coverlay.operators import points as P
 from coverlay.operators.adjacency import neighbours_by_edge, touching
+from coverlay.operators.dissolve import dissolve_exact
 from coverlay.operators.grid import spatial_join
 from coverlay.operators.lines import break_line
 from coverlay.plans import borders, display, gaps, qa, split
@@ -262,6 +263,14 @@ def cov1(spark, sf):
     return d.groupBy("state").agg(F.count(F.lit(1)).alias("parts"), F.sum(G.area("geom")).alias("area"))
 
 
+@query("cov1_edges", f"WITH {L.AREAS} SELECT state, count(DISTINCT CASE WHEN x0 < lx_min THEN k ELSE -b - 1 END) AS parts, sum((x1 - x0) * (y1 - y0))::DOUBLE AS area FROM (SELECT *, 96 * (b % 8) + 16 * r AS lx_min FROM area) GROUP BY 1")
+def cov1_edges(spark, sf):
+    """The same state polygons from the edges of the areas alone; rings are linked, no polygon is united."""
+    filled = L.areas_nested(spark, sf).withColumn("nested", N.exterior("nested"))
+    d = dissolve_exact(filled, ["state"])
+    return d.groupBy("state").agg(F.count(F.lit(1)).alias("parts"), F.sum(N.area("nested")).alias("area"))
+
+
 def _measured(df, *keys):
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(G.area("geom")), 4).alias("area"))
 

@@ -10,8 +10,10 @@ from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.functions.keys import KeyRanges, release
 from coverlay.operators import attributes as A
+from coverlay.operators.adjacency import canonical_edges
 from coverlay.operators.dissolve import collect, dissolve_parts, outline_edges, outline_measures
 from coverlay.operators.grid import spatial_filter, spatial_join
+from coverlay.operators.halfedges import faces
 from coverlay.operators.lines import make_lines
 from coverlay.plans import display
 from coverlay.sources.writers import box_arrays, clustered
@@ -308,6 +310,16 @@ def agg14(spark, sf):
     return faces.groupBy("tx", "ty").agg(F.count(F.lit(1)).alias("faces"), F.sum(G.area("face")).alias("area"))
 
 
+@query("agg14_faces", f"WITH {BRAND_CELLS} SELECT cx::BIGINT AS cx, CASE WHEN cx % 2 = 0 THEN 1 ELSE count(*) END AS faces, count(*)::DOUBLE AS area FROM cells GROUP BY cx")
+def agg14_faces(spark, sf):
+    """Faces of one noded network, however far they reach: without the rungs of even columns, each of those is one face."""
+    seg = N.to_segments(L.brand_cells_nested(spark, sf), "nested", ["cell_id"])
+    used = canonical_edges(seg, []).groupBy("x1", "y1", "x2", "y2").agg(F.count(F.lit(1)).alias("uses"))
+    found = faces(used.where("uses = 1 OR y1 <> y2 OR x1 % 2 = 1").drop("uses"))
+    left = F.floor(N.bounds("nested")["xmin"]).alias("cx")
+    return found.select(left, N.area("nested").alias("area")).groupBy("cx").agg(F.count(F.lit(1)).alias("faces"), F.sum("area").alias("area"))
+
+
 @query("agg15", f"""WITH {BRAND_CELLS}, adj AS (
   SELECT a.owner, a.cell_id // 512 AS block, count(*) AS n FROM cells a JOIN cells b ON a.owner = b.owner AND a.cell_id // 512 = b.cell_id // 512
    AND ((b.cx = a.cx + 1 AND b.cy = a.cy) OR (b.cx = a.cx AND b.cy = a.cy + 1)) GROUP BY 1, 2)
