@@ -6,13 +6,18 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.operators.attributes import best_per_key
 from coverlay.operators.grid import cell_of, cell_range, spatial_join
-from coverlay.operators.stage import cut
+from coverlay.operators.spread import look_up
+from coverlay.operators.stage import store
+
+#: Width of a cell in cells of the next finer grid, in the search for nearest outlines.
+_FAN = 4
 
 
 def crosses_ray(px, py) -> Column:
@@ -81,39 +86,57 @@ def points_in_areas(points: DataFrame, areas: DataFrame, cell: float, on: Sequen
 
 def nearest_outline(
     points: DataFrame, layer: DataFrame, cell: float, point_id: str, layer_id: str, on: Sequence[str] = (),
-    radius: float | None = None, max_segments: int = 64,
+    max_segments: int = 64, k: int = 1,
 ) -> DataFrame:
-    """Nearest feature outline for every point, exact: ``point columns, layer_id, nearest, dist``; ties are kept.
+    """The ``k`` nearest feature outlines of every point, exact: ``point columns, layer_id, nearest, dist``; ties are kept.
 
-    Search boxes grow fourfold; a point is settled once its best distance is within the box it searched, so
-    nothing outside could be nearer. The search ends at the joint extent of both layers, where everything has been
-    seen. Points without any partner under ``on`` stay out, as do points without coordinates.
+    Two passes, whatever the distances. First an upper bound: outlines leave one of their vertices in each cell of a pyramid of
+    grids, and a point measures those in its own cells, from ``cell`` up to the extent of everything. Then one range
+    join: each point meets the outlines within its bound, in the grid whose cells are as wide as that. Points without any
+    partner under ``on`` stay out, as do points without coordinates; with fewer than ``k`` features all are found.
+    ``point_id`` must be unique.
     """
-    r = radius or cell
+    on = list(on)
     points = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
     # short runs of the outline: small boxes, and no point is measured against a whole border
-    lines = layer.select(*on, layer_id, F.explode(G.chop(G.boundary("geom"), max_segments)).alias("_outline"))
+    chopped = layer.select(*on, layer_id, F.explode(G.chop(G.boundary("geom"), max_segments)).alias("_outline"))
+    lines = store(chopped.select("*", G.bounds("_outline").alias("_b"), F.element_at(F.element_at(F.element_at(G.decode("_outline"), 1), 1), 1).alias("_v")), "outlines")
     farthest = _joint_extent(points, lines)
-    todo, found = points, None
-    if on:
-        todo = todo.join(cut(lines.select(*on).distinct()), list(on), "left_semi")
-    while True:
-        left = todo.withColumn("_pt", G.point("x", "y"))
-        hits = spatial_join(left, lines, None, max(cell, r), on=on, left_geom="_pt", right_geom="_outline", expand=r)
-        hits = G.once(hits, "nearest", G.nearest_point("_outline", "_pt")).drop("_pt", "_outline")
-        hits = cut(hits.withColumn("dist", N.distance(N.xy("x", "y"), "nearest")).where(F.col("dist") <= r))
-        # neighbouring runs share a segment and can report the same place twice
-        settled = best_per_key(hits, [point_id], "dist").dropDuplicates([point_id, layer_id, "nearest"])
-        found = settled if found is None else found.unionByName(settled)
-        todo = cut(todo.join(hits.select(point_id).distinct(), point_id, "left_anti"))
-        if r >= farthest or todo.isEmpty():
-            return found
-        r *= 4
+    levels = max(1, 1 + math.ceil(math.log(max(farthest / cell, 1.0), _FAN)))
+    width = F.lit(float(cell)) * F.pow(F.lit(float(_FAN)), F.col("_level"))
+    every_level = F.explode(F.array(*[F.lit(n) for n in range(levels + 1)])).alias("_level")
+    in_cell = lambda v: F.floor(v / width)
+    keys = [*on, "_level", "_cx", "_cy"]
+
+    # features of different classes are different ones, so a cell's row per class is enough and stays bounded
+    marks = lines.select(*on, layer_id, "_v", every_level).withColumns({"_cx": in_cell(F.col("_v.x")), "_cy": in_cell(F.col("_v.y")), "_class": F.pmod(F.xxhash64(layer_id), F.lit(4 * k - 3))})
+    marks = marks.groupBy(*keys, "_class").agg(F.min(F.struct(F.col(layer_id).alias("f"), F.col("_v.x").alias("vx"), F.col("_v.y").alias("vy"))).alias("_m"))
+    asked = points.select(point_id, *on, "x", "y", every_level).withColumns({"_cx": in_cell(F.col("x")), "_cy": in_cell(F.col("y"))})
+    seen = look_up(asked, keys, marks).select(point_id, F.col("_m.f").alias("_f"), F.hypot(F.col("x") - F.col("_m.vx"), F.col("y") - F.col("_m.vy")).alias("_d"))
+    per = seen.groupBy(point_id, "_f").agg(F.min("_d").alias("_d")).groupBy(point_id).agg(F.array_sort(F.collect_list("_d")).alias("_d"))
+    bound = F.coalesce(F.try_element_at("_d", F.lit(k)), F.lit(farthest)) * (1 + 1e-9)
+
+    level = F.greatest(F.lit(0), F.least(F.lit(levels), F.ceil(F.log(F.greatest(F.col("_bound") / cell, F.lit(1.0))) / math.log(_FAN)).cast("int")))
+    search = points.join(store(per.select(point_id, bound.alias("_bound")), "bounds"), point_id).withColumn("_level", level)
+    span = lambda lo, hi: F.explode(F.sequence(in_cell(lo), in_cell(hi)))
+    boxes = search.withColumn("_cx", span(F.col("x") - F.col("_bound"), F.col("x") + F.col("_bound"))).withColumn("_cy", span(F.col("y") - F.col("_bound"), F.col("y") + F.col("_bound")))
+    runs = lines.select(*on, layer_id, "_outline", "_b", every_level).withColumn("_cx", span(F.col("_b.xmin"), F.col("_b.xmax"))).withColumn("_cy", span(F.col("_b.ymin"), F.col("_b.ymax")))
+    away = lambda v, lo, hi: F.greatest(F.lit(0.0), F.col(lo) - F.col(v), F.col(v) - F.col(hi))
+    near = boxes.join(runs, keys).where(F.hypot(away("x", "_b.xmin", "_b.xmax"), away("y", "_b.ymin", "_b.ymax")) <= F.col("_bound"))
+    hits = G.once(near.withColumn("_pt", G.point("x", "y")), "nearest", G.nearest_point("_outline", "_pt"))
+    hits = hits.withColumn("dist", N.distance(N.xy("x", "y"), "nearest")).select(*points.columns, layer_id, "nearest", "dist")
+    # a run is met in several cells, and neighbouring runs share a segment
+    hits = store(hits.dropDuplicates([point_id, layer_id, "nearest"]), "near-outlines")
+    best = best_per_key(hits, [point_id, layer_id], "dist") if k > 1 else best_per_key(hits, [point_id], "dist")
+    if k == 1:
+        return best
+    order = best.groupBy(point_id, layer_id).agg(F.min("dist").alias("dist")).withColumn("_rank", F.rank().over(W.partitionBy(point_id).orderBy("dist")))
+    return best.join(order.where(F.col("_rank") <= k).select(point_id, layer_id), [point_id, layer_id], "left_semi")
 
 
 def _joint_extent(points: DataFrame, lines: DataFrame) -> float:
     """Diagonal of the box around both layers; no point is farther than that from any outline. 0 if either is empty."""
-    b = lines.select(G.bounds("_outline").alias("b")).agg(F.min("b.xmin"), F.min("b.ymin"), F.max("b.xmax"), F.max("b.ymax")).first()
+    b = lines.agg(F.min("_b.xmin"), F.min("_b.ymin"), F.max("_b.xmax"), F.max("_b.ymax")).first()
     p = points.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
     if b[0] is None or p[0] is None:
         return 0.0

@@ -110,7 +110,6 @@ def splitter_lines(points: DataFrame, corridor_layer: DataFrame, cfg: CleanConfi
     pts = number_rows(points, "point_id")
     near = nearest_outline(
         pts, corridor_layer.select("corridor_id", "state", "geom"), cfg.cell, "point_id", "corridor_id", on=["state"],
-        radius=cfg.border_width * 2,
     )
     lines = near.select("hole_id", "state", "point_id", N.overshoot(N.xy("x", "y"), F.col("nearest"), cfg.overshoot).alias("path"))
     return lines.where(F.col("path").isNotNull()).select("hole_id", "state", G.line("path").alias("line")).distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,16 +79,12 @@ def _rings(coords) -> Column:
     return F.transform(coords, lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
 
 
-def read_geojson_lines(spark: SparkSession, path: str, properties: T.StructType) -> DataFrame:
-    """A folder of newline-delimited GeoJSON features (polygons and multipolygons) in parallel input splits."""
-    enable(spark)
-    schema = T.StructType([
-        T.StructField("geometry", T.StructType([
-            T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType()),
-        ])),
-        T.StructField("properties", properties),
-    ])
-    rows = spark.read.schema(schema).json(path)
+def _feature_type(properties: T.StructType) -> T.StructType:
+    geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
+    return T.StructType([T.StructField("geometry", geometry), T.StructField("properties", properties)])
+
+
+def _features(rows: DataFrame) -> DataFrame:
     text = F.col("geometry.coordinates")
     one = F.array(_rings(F.from_json(text, _POLY)))
     many = F.transform(F.from_json(text, T.ArrayType(_POLY)), _rings)
@@ -94,6 +92,49 @@ def read_geojson_lines(spark: SparkSession, path: str, properties: T.StructType)
     return rows.select("properties.*", G.encode(nested).alias("geom"))
 
 
+def read_geojson_lines(spark: SparkSession, path: str, properties: T.StructType) -> DataFrame:
+    """A folder of newline-delimited GeoJSON features (polygons and multipolygons) in parallel input splits."""
+    enable(spark)
+    return _features(spark.read.schema(_feature_type(properties)).json(path))
+
+
+_BEFORE_FEATURES = r'"features"\s*:\s*\[\s*$'
+
+
+def _feature_opening(spark: SparkSession, path: str) -> str | None:
+    """The characters that open each feature of a document, as its writer spells them; None without features.
+
+    Read from the first feature: the brace and its first key, and with the key ``type`` the value too, since geometries have
+    that key as well. Only the document's beginning is looked at.
+    """
+    head = spark.read.text(path, lineSep="{").select(F.left("value", F.lit(4096)).alias("value")).limit(256).collect()
+    for before, after in zip(head, head[1:], strict=False):
+        if re.search(_BEFORE_FEATURES, before.value):
+            found = re.match(r'\s*"type"\s*:\s*"Feature"|\s*"[^"\\]+"', after.value)
+            if not found:
+                raise ValueError(f"{path}: no feature after {before.value[-40:]!r}")
+            return "{" + found[0]
+    return None
+
+
+def read_geojson_document(spark: SparkSession, path: str, properties: T.StructType) -> DataFrame:
+    """Features (polygons and multipolygons) of one FeatureCollection, the file cut into splits that many tasks read.
+
+    ``path`` is a document, or a folder of part files that are one when put together. A task starts at any byte and goes on to
+    the next feature: Spark's text source does so for any separator, and the characters that open a feature can't occur
+    inside a string, where quotes are escaped. They must be the same for all features, as programs write them; a feature that
+    can't be parsed to its end (cut off, or with another feature inside) is an error. A document that ends between two
+    features isn't told from a whole one.
+    """
+    enable(spark)
+    opening = _feature_opening(spark, path)
+    if opening is None:
+        return _features(spark.createDataFrame([], _feature_type(properties)))
+    texts = spark.read.text(path, lineSep=opening).where(~F.col("value").rlike(_BEFORE_FEATURES) & ~F.col("value").rlike(r"^[\s,\[\]}]*$"))
+    feature = F.from_json(F.concat(F.lit(opening), "value"), _feature_type(properties), {"mode": "FAILFAST"})
+    return _features(texts.select(feature.alias("_f")).select("_f.*"))
+
+
 def read_delimited_wkb(spark: SparkSession, path: str, columns: T.StructType, sep: str = "|") -> DataFrame:
     """Delimited text whose ``geom`` column is WKB in hex."""
     enable(spark)

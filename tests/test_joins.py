@@ -138,7 +138,7 @@ def test_nearest_outline_is_exact(spark):
         return math.hypot(max(b[1] - x, x - b[3], 0), max(b[2] - y, y - b[4], 0))
 
     near = nearest_outline(
-        spark.createDataFrame(pts, "pt int, x double, y double"), frame(spark, layer), 2.0, "pt", "id", radius=0.5
+        spark.createDataFrame(pts, "pt int, x double, y double"), frame(spark, layer), 2.0, "pt", "id"
     )
     got = {r.pt: r.dist for r in near.collect()}
     assert len(got) == len(pts)
@@ -146,6 +146,39 @@ def test_nearest_outline_is_exact(spark):
         assert got[p[0]] == pytest.approx(min(dist(p, b) for b in layer), abs=1e-9)
 
 
+@pytest.mark.parametrize("k", [1, 3])
+def test_nearest_k_with_ties_in_a_fixed_number_of_jobs(spark, k):
+    """All pairs by the definition; twins at one distance are both there. A tenth and a thousand times the distances take as many jobs."""
+    rng, jobs = random.Random(5), []
+    for scale in (0.1, 1000.0):
+        layer = [(i, *(v * scale for v in b[1:])) for i, b in enumerate(boxes(25, 10))]
+        layer += [(100 + i, *b[1:]) for i, b in enumerate(layer[:5])]  # twins
+        pts = [(i, rng.uniform(-60, 60) * scale, rng.uniform(-60, 60) * scale) for i in range(30)]
+
+        def dist(p, b):
+            x, y = p[1], p[2]
+            if b[1] < x < b[3] and b[2] < y < b[4]:
+                return min(x - b[1], b[3] - x, y - b[2], b[4] - y)
+            return math.hypot(max(b[1] - x, x - b[3], 0), max(b[2] - y, y - b[4], 0))
+
+        want = set()
+        for p in pts:
+            at = sorted((round(dist(p, b), 6), b[0]) for b in layer)
+            want |= {(p[0], i) for d, i in at if d <= at[k - 1][0]}
+        tracker, group = spark.sparkContext.statusTracker(), f"nearest-{k}-{scale}"
+        spark.sparkContext.setJobGroup(group, group)
+        near = nearest_outline(spark.createDataFrame(pts, "pt int, x double, y double"), frame(spark, layer), 2.0, "pt", "id", k=k)
+        assert {(r.pt, r.id) for r in near.collect()} == want
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+    spark.sparkContext.setJobGroup("", "")
+    assert abs(jobs[0] - jobs[1]) <= 4  # adaptive execution splits plans by size, loops would double them
+
+
+def test_fewer_features_than_asked_for(spark):
+    near = nearest_outline(spark.createDataFrame([(1, 0.0, 0.0)], "pt int, x double, y double"), frame(spark, [(7, 5.0, 5.0, 6.0, 6.0), (8, 50.0, 5.0, 60.0, 6.0)]), 1.0, "pt", "id", k=5)
+    assert {r.id for r in near.collect()} == {7, 8}
+
+
 def test_lead_over_all_matches_window(spark):
     d = spark.range(0, 500).select(((F.col("id") * 7919) % 1009).alias("k"), F.col("id").alias("v"))
     want = d.select("k", F.lead("v").over(W.orderBy("k")).alias("n")).collect()
@@ -221,7 +254,7 @@ def test_no_direction_no_line(spark):
 def test_partners_beyond_any_radius_are_found(spark, shapes):
     layer = shapes([(1, "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))")])
     points = spark.createDataFrame([(1, 2.0, 0.5), (2, 5_000_000.0, 0.5), (3, None, 0.5)], "pt int, x double, y double")
-    near = nearest_outline(points, layer, 1.0, "pt", "id", radius=1.0)
+    near = nearest_outline(points, layer, 1.0, "pt", "id")
     assert sorted((r.pt, r.dist) for r in near.collect()) == [(1, 1.0), (2, 4_999_999.0)]
     assert nearest_outline(points, layer.limit(0), 1.0, "pt", "id").count() == 0
 

@@ -115,7 +115,7 @@ def joi11(spark, sf):
     regions = table(spark, sf, "region").select(F.col("r_regionkey").cast("bigint").alias("r"), F.col("r_name").alias("state"))
     pts = L.points(spark, sf).withColumn("r", r).join(regions, "r").select("pt", "state", "b", "x", "y")
     layer = L.corridor_boxes(spark, sf).withColumn("b", F.floor(F.col("zone_id") / 25))
-    near = P.nearest_outline(pts, layer, 16.0, "pt", "zone_id", on=["state", "b"], radius=16.0)
+    near = P.nearest_outline(pts, layer, 16.0, "pt", "zone_id", on=["state", "b"])
     return near.select("pt", F.round("dist", 6).alias("dist")).distinct()
 
 

@@ -46,19 +46,20 @@ def src2(spark, sf):
 
 @query("src3", f"WITH {L.LOC} SELECT locality_pid, postcode, {L.LOC_AREA}::DOUBLE AS area FROM loc")
 def src3(spark, sf):
-    """Three imports into one table: a replacing one and two appending ones, from Parquet, text and GeoJSON."""
+    """Four imports into one table: a replacing one and three appending ones, from Parquet, text, GeoJSON lines and a GeoJSON document."""
     d = _display(spark, sf)
     keep = ["locality_pid", "postcode", "geom"]
-    a, b, c = (d.where(F.col("gid") % 3 == i) for i in range(3))
-    landed, text, features = (scratch(spark, n) for n in ("landed", "text", "features"))
+    a, b, c, e = (d.where(F.col("gid") % 4 == i) for i in range(4))
+    landed, text, features, document = (scratch(spark, n) for n in ("landed", "text", "features", "document"))
     R.import_files(a.select(*keep), landed)
     Wr.write_delimited(b, text)
     cols = T.StructType([T.StructField(n, T.StringType()) for n in ("locality_pid", "locality_name", "postcode", "state")] + [T.StructField("geom", T.BinaryType())])
     R.import_files(R.read_delimited_wkb(spark, text, cols).select(*keep), landed, append=True)
     Wr.write_geojson(c, features)
     props = T.StructType([T.StructField("locality_pid", T.StringType()), T.StructField("postcode", T.StringType())])
-    got = R.read_geojson_lines(spark, features, props).withColumn("postcode", F.nullif("postcode", F.lit("")))
-    R.import_files(got.select(*keep), landed, append=True)
+    Wr.write_geojson_document(e, document)
+    for got in (R.read_geojson_lines(spark, features, props), R.read_geojson_document(spark, document, props)):
+        R.import_files(got.withColumn("postcode", F.nullif("postcode", F.lit(""))).select(*keep), landed, append=True)
     return spark.read.parquet(landed).select("locality_pid", "postcode", F.round(G.area("geom"), 6).alias("area"))
 
 

@@ -215,12 +215,12 @@ def geo21(spark, sf):
 @query("geo22", f"""WITH {L.POINTS}, {L.LOC}, n AS (
   SELECT pt, k, x, y, CASE WHEN x > x0 AND x < x1 AND y > y0 AND y < y1 THEN least(x - x0, x1 - x, y - y0, y1 - y)
     ELSE sqrt(greatest(x0 - x, 0, x - x1) ** 2 + greatest(y0 - y, 0, y - y1) ** 2) END AS d
-  FROM pts JOIN loc USING (b) WHERE j = 1)
+  FROM pts JOIN loc USING (b))
 SELECT pt, round(min(d), 6) AS dist FROM n GROUP BY 1""")
 def geo22(spark, sf):
     """Closest point on the outlines of a point's block, through the grid."""
-    layer = L.localities(spark, sf).where(F.col("j") == 1).select("k", "b", "geom")
-    near = nearest_outline(L.points(spark, sf), layer, 16.0, "pt", "k", on=["b"], radius=16.0)
+    layer = L.localities(spark, sf).select("k", "b", "geom")
+    near = nearest_outline(L.points(spark, sf), layer, 4.0, "pt", "k", on=["b"])
     return near.select("pt", F.round("dist", 6).alias("dist")).distinct()
 
 
