@@ -84,4 +84,4 @@ def test_every_dealt_query_is_registered():
     import __spark_entry__ as e
 
     names = {n.split("_")[0] for n in e.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in e.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in e.queries()
