@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from coverlay.llm.batches import map_batches, runs, utf8
 #: The marker that stands for a space, as in the vocabulary.
 MARK = "▁"
 #: Distinct words that each half of a worker's table holds between batches, and the longest of them.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 100_000, 64
 
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -82,27 +83,33 @@ def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``<id_col>, ids`` for every row: ids of the whole text and the model's end id. No shuffle.
+def _encoded(batches, model: str, back: bool):
+    """``id, ids`` and, if ``back``, the text that they decode to; a step of texts at a time."""
+    use = piece_encoder(model)
+    end = array("i", [use.model.eos_id()]).tobytes()
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(1)).to_pylist()
+        for part in runs(sizes):
+            rows = batch.slice(part.start, part.stop - part.start)
+            found = [ids + end for ids in use.encode([t.decode("utf-8", "replace") for t in rows.column(1).to_pylist()])]
+            cuts = np.concatenate(([0], np.cumsum([len(r) // 4 for r in found]))).astype(np.int32)
+            columns = [rows.column(0), pa.ListArray.from_arrays(cuts, np.frombuffer(b"".join(found), np.int32))]
+            if back:
+                columns.append(pa.array(use.model.decode([memoryview(r).cast("i").tolist() for r in found], num_threads=1), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"][: len(columns)])
+
+
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", back: bool = False) -> DataFrame:
+    """``<id_col>, ids`` for every row: ids of the whole text and the model's end id; with ``back`` also ``decoded``, their text.
 
     ``model`` is a path that every task can read. A null or empty text is the end id alone. Repeated rows and null ids keep
-    their rows; other columns are ignored, whatever their names; an empty table gives an empty result. A task holds
-    one step of texts and its table of words, of which it keeps a bounded number from batch to batch.
+    their rows; other columns are ignored, whatever their names; an empty table gives an empty result. No shuffle; a task
+    holds one step of texts and its table of words, of which it keeps a bounded number from step to step.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        use = piece_encoder(model)
-        end = array("i", [use.model.eos_id()]).tobytes()
-        texts, found = batch.column(1).to_pylist(), []
-        for part in runs([len(t) for t in texts]):
-            found += use.encode([t.decode("utf-8", "replace") for t in texts[part]])
-        rows = [ids + end for ids in found]
-        cuts = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows]))).astype(np.int32)
-        ids = pa.ListArray.from_arrays(cuts, np.frombuffer(b"".join(rows), np.int32))
-        return pa.RecordBatch.from_arrays([batch.column(0), ids], names=["id", "ids"])
-
-    return map_batches(docs.select(F.col(id_col), utf8(text_col)), one, f"id {kind}, ids array<int>").select(F.col("id").alias(id_col), "ids")
+    rows = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("text"))
+    found = rows.mapInArrow(lambda batches: _encoded(batches, model, back), f"id {kind}, ids array<int>" + ", decoded string" * back)
+    return found.withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -111,7 +118,9 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", text_col: str =
     at = encoded.columns.index(ids_col)
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = piece_encoder(model).model.decode([ids or [] for ids in batch.column(at).to_pylist()], num_threads=1)
+        ids = batch.column(at).fill_null([]) if batch.column(at).null_count else batch.column(at)
+        flat, cuts = ids.values.to_numpy(), ids.offsets.to_pylist()
+        texts = piece_encoder(model).model.decode([flat[a:b].tolist() for a, b in zip(cuts, cuts[1:], strict=False)], num_threads=1)
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[f"c{i}" for i in range(len(batch.columns) + 1)])
 
     return map_batches(encoded, one, ", ".join([*kinds, f"c{len(kinds)} string"])).toDF(*encoded.columns, text_col)
@@ -119,8 +128,7 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", text_col: str =
 
 def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id_col>, n_tokens, ids_sha256, decoded_sha256``: digests of a text's ids and of what they decode to."""
-    both = decode(encode(docs, model, id_col, text_col), model, text_col="decoded")
-    return both.select(
+    return encode(docs, model, id_col, text_col, back=True).select(
         id_col, F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
