@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from coverlay.functions import geometry as G
 from coverlay.operators.stage import store
 
 #: Tasks that the rows of one key are dealt over.
@@ -34,6 +35,20 @@ def number_by(df: DataFrame, order: list[str | Column], name: str = "number") ->
     return rows.join(starts, "_part").select(*df.columns, (F.col("_start") + F.col("_at")).alias(name))
 
 
+def number_rows(df: DataFrame, name: str, geom: str = "geom") -> DataFrame:
+    """Features with dense ids from 0 in the first column, which another run or partitioning gives again.
+
+    The order is that of the other columns, then of the feature's box, then of its bytes: how an earlier stage happened
+    to order vertices only tells features apart that agree in all else. ``df`` is computed once.
+    """
+    rows = store(df, "features")
+    order = [F.col(c) for c in df.columns if c != geom]
+    if geom in df.columns:
+        box = G.bounds(geom)
+        order += [box[c] for c in ("xmin", "ymin", "xmax", "ymax")]
+    return number_by(rows, order, name).select(name, *df.columns)
+
+
 def running(df: DataFrame, group: list[str], order: list[str], sums: list[str] | None = None, place: str = "place") -> DataFrame:
     """``df`` with ``place``, from 1 in each group in ascending ``order``, and ``<column>_upto``: running sums of ``sums``.
 

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _DIR = "spark.checkpoint.dir"
 
@@ -38,8 +37,3 @@ def store(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def number_rows(df: DataFrame, name: str) -> DataFrame:
-    """Add a unique id and fix it by a checkpoint, so later retries of other stages see the same ids."""
-    return cut(df.withColumn(name, F.monotonically_increasing_id()).select(name, *df.columns))

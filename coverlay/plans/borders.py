@@ -9,7 +9,8 @@ from coverlay.functions import geometry as G
 from coverlay.kernel import enable
 from coverlay.operators.dissolve import dissolve_parts
 from coverlay.operators.grid import spatial_join
-from coverlay.operators.stage import cut, number_rows
+from coverlay.operators.spread import number_rows
+from coverlay.operators.stage import cut
 from coverlay.plans.config import CleanConfig
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from coverlay.functions import geometry as G
 from coverlay.operators.dissolve import collect, dissolve_local, dissolve_parts
 from coverlay.operators.grid import spatial_filter, spatial_join
-from coverlay.operators.stage import cut, number_rows
+from coverlay.operators.spread import number_rows
+from coverlay.operators.stage import cut
 from coverlay.plans.config import CleanConfig
 from coverlay.plans.split import SPLIT
 

@@ -12,7 +12,8 @@ from coverlay.operators.attributes import append, one_per_key
 from coverlay.operators.dissolve import dissolve_parts
 from coverlay.operators.grid import spatial_join
 from coverlay.operators.points import nearest_outline
-from coverlay.operators.stage import cut, number_rows
+from coverlay.operators.spread import number_rows
+from coverlay.operators.stage import cut
 from coverlay.plans.config import CleanConfig
 from coverlay.plans.split import GOOD_BORDER, MESSY_BORDER
 

@@ -10,7 +10,8 @@ from coverlay.kernel import enable
 from coverlay.operators.attributes import delete_where, one_per_key, set_from, set_where_key
 from coverlay.operators.grid import spatial_join
 from coverlay.operators.points import points_in_areas
-from coverlay.operators.stage import cut, number_rows
+from coverlay.operators.spread import number_rows
+from coverlay.operators.stage import cut
 from coverlay.plans.borders import clip_to_layer, state_lines
 from coverlay.plans.config import CleanConfig
 

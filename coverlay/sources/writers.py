@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -152,6 +154,20 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def switch_table(df: DataFrame, name: str, base: str) -> str:
+    """Replace the table ``name`` while it is being read; returns the folder of the new version below ``base``.
+
+    The rows are written to a folder of their own first, and one statement then points the catalog's view ``name`` to it:
+    readers see the old rows or the new ones, never half of either. A read begun before keeps its files, since no version
+    is deleted here; a write that fails leaves the table as it was. ``df`` may read ``name`` itself, and columns may change.
+    """
+    spark = df.sparkSession
+    folder = f"{base.rstrip('/')}/version-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    return folder
+
+
 def nested_geometry(df: DataFrame, geom: str = "geom", out: str = "nested") -> DataFrame:
     """Add the array form of a geometry column."""
     enable(df.sparkSession)

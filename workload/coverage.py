@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from coverlay.functions import geometry as G
@@ -12,6 +14,7 @@ from coverlay.operators.adjacency import neighbours_by_edge, touching
 from coverlay.operators.dissolve import dissolve_exact
 from coverlay.operators.grid import spatial_join
 from coverlay.operators.lines import break_line
+from coverlay.operators.spread import number_rows
 from coverlay.plans import borders, display, gaps, qa, split
 from coverlay.sources.writers import vertices
 from workload import layers as L
@@ -289,6 +292,30 @@ def cov4(spark, sf):
     return _measured(p.withColumnRenamed("loc_state", "state"), "state", "match_type")
 
 
+#: A locality kept by name, and a place whose piece is taken out again.
+_KEPT, _DROP = "loc0000000002", (20.0, 4.0)
+
+
+@query("cov4_points", f"""WITH {L.LOC}{L.STATES}, {L.POINTS}, pc AS (
+  SELECT l.k, l.locality_pid, l.b, s.state_gid, s.state AS ste_state, ({_PI})::DOUBLE AS area, greatest(x0, sx0) AS px0, least(x1, sx1) AS px1,
+         greatest(y0, sy0) AS py0, least(y1, sy1) AS py1, holed, hx0, hx1, hy0, hy1
+  FROM loc l JOIN st s ON l.b = s.b WHERE ({_PI}) > 0 AND NOT (l.x0 > s.sx0 AND l.x1 < s.sx1 AND l.y0 > s.sy0 AND l.y1 < s.sy1)),
+one AS (SELECT state_gid FROM pc GROUP BY 1 HAVING count(DISTINCT k) = 1),
+hit AS (SELECT DISTINCT k, state_gid FROM pc JOIN pts ON pts.b = pc.b AND x > px0 AND x < px1 AND y > py0 AND y < py1
+        WHERE NOT (holed AND x > hx0 AND x < hx1 AND y > hy0 AND y < hy1))
+SELECT k, ste_state, area, CASE WHEN {_DROP[0]} BETWEEN px0 AND px1 AND {_DROP[1]} BETWEEN py0 AND py1 THEN 'SPLIT' WHEN one.state_gid IS NOT NULL THEN 'SINGLE'
+       WHEN hit.k IS NOT NULL OR locality_pid = '{_KEPT}' THEN 'MANUAL' ELSE 'SPLIT' END AS match_type
+FROM pc LEFT JOIN one USING (state_gid) LEFT JOIN hit USING (k, state_gid)""")
+def cov4_points(spark, sf):
+    """Pieces settled by hand: fix points (one per order) over pieces still open, a locality kept by name, one place dropped."""
+    states = L.state_boxes(spark, sf)
+    cfg = replace(L.CFG, always_keep=(_KEPT,), drop_at=_DROP)
+    loc = L.localities(spark, sf).select(F.col("k").alias("gid"), "locality_pid", "state", "geom")
+    pieces = split.split_by_states(loc, states, borders.tiles(states, ["state_gid", "state"], cfg), cfg)
+    settled = split.apply_fix_points(split.mark_single(number_rows(pieces, "piece_id")), L.points(spark, sf), cfg)
+    return settled.select(F.col("gid").alias("k"), "ste_state", G.area("geom").alias("area"), "match_type")
+
+
 @query("cov5", f"WITH {L.LOC} SELECT o.locality_pid, 2::DOUBLE AS area FROM loc s JOIN loc o ON o.b = s.b AND o.r = 3 AND o.j = 0 WHERE s.odd AND s.r = 3 AND s.j = 2")
 def cov5(spark, sf):
     p = L.stages(spark, sf)["pieces"].where(F.col("match_type") == split.SLIVER)

@@ -136,6 +136,22 @@ def snk6(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("snk6_switch", """SELECT o_orderkey, 'old' AS version FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT o_orderkey, 'new' FROM orders WHERE o_orderkey % 2 = 1 UNION ALL SELECT o_orderkey + 1000000000, 'new' FROM orders WHERE o_orderkey % 2 = 0""")
+def snk6_switch(spark, sf):
+    """A table replaced while it is read, by rows derived from itself: the read begun before ends with the old rows."""
+    base = scratch(spark, "switched")
+    name = f"result_{base.split('/')[-2].replace('-', '_')}"
+    o = table(spark, sf, "orders").select("o_orderkey")
+    Wr.switch_table(o.where(F.col("o_orderkey") % 2 == 0), name, base)
+    begun = spark.table(name)
+    renewed = spark.table(name).select(F.col("o_orderkey") + 1000000000).union(o.where(F.col("o_orderkey") % 2 == 1)).toDF("o_orderkey")
+    Wr.switch_table(renewed, name, base)
+    now = spark.table(name)
+    spark.sql(f"DROP VIEW {name}")
+    return begun.withColumn("version", F.lit("old")).union(now.withColumn("version", F.lit("new")))
+
+
 @query("snk7", f"WITH {L.LOC} SELECT locality_pid, CASE WHEN k % 2 = 0 THEN 202602 ELSE 202605 END::INT AS release, 7844::INT AS srid FROM loc")
 def snk7(spark, sf):
     base = scratch(spark, "versions")

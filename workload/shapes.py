@@ -14,7 +14,7 @@ from coverlay.operators.dissolve import dissolve_parts
 from coverlay.operators.grid import with_bounds
 from coverlay.operators.lines import label_chains, chain_lines
 from coverlay.operators.simplify import simplify_coverage, thin_by_zoom
-from coverlay.operators.stage import number_rows
+from coverlay.operators.spread import number_rows
 from coverlay.sources.readers import detect_srid, fix_point_geometry
 from workload import layers as L
 from workload.registry import query, table
