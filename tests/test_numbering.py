@@ -42,3 +42,22 @@ def test_table_switched_under_readers(spark, tmp_path):
         switch_table(broken, name, f"file:{tmp_path}")
     assert spark.table(name).count() == 10  # a write that fails changes nothing
     spark.sql(f"DROP VIEW {name}")
+
+
+def test_two_runs_give_the_same_ids(spark):
+    """The whole cleaning, on inputs that are dealt differently: pieces, gaps, zones, localities and postcodes keep their ids."""
+    from coverlay.functions import geometry as G
+    from coverlay.plans import clean
+    from tests.conftest import DATA
+    from workload import layers as L
+
+    def ids(n):
+        deal = lambda d: d.repartition(n, F.rand(n))
+        sf = f"{DATA}/sf0.001"
+        out = clean(deal(L.boundaries(spark, sf)), deal(L.areas(spark, sf)), cfg=L.CFG, check=False)
+        tables = {"states": "state_gid", "corridors": "corridor_id", "zones": "zone_id", "pieces": "piece_id", "display": "gid", "postcodes": "gid"}
+        box = G.bounds("geom")
+        return {t: sorted(map(tuple, out[t].select(k, "state" if "state" in out[t].columns else "loc_state", *[box[c] for c in ("xmin", "ymin", "xmax", "ymax")]).collect()), key=str) for t, k in tables.items()}
+
+    first = ids(1)
+    assert first == ids(11) and all(first.values())
