@@ -38,15 +38,27 @@ def number_by(df: DataFrame, order: list[str | Column], name: str = "number") ->
 def number_rows(df: DataFrame, name: str, geom: str = "geom") -> DataFrame:
     """Features with dense ids from 0 in the first column, which another run or partitioning gives again.
 
-    The order is that of the other columns, then of the feature's box, then of its bytes: how an earlier stage happened
-    to order vertices only tells features apart that agree in all else. ``df`` is computed once.
+    The order is that of a hash of the other columns and the feature's box, then of a hash of all columns: how an earlier
+    stage happened to order vertices only tells features apart that agree in all else. One shuffle and one write: the
+    hash's range is cut into as many equal parts as a shuffle has, each is ranked by itself, and one count per part tells
+    where its ids begin.
     """
-    rows = store(df, "features")
-    order = [F.col(c) for c in df.columns if c != geom]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    content = [F.col(c) for c in df.columns if c != geom]
     if geom in df.columns:
         box = G.bounds(geom)
-        order += [box[c] for c in ("xmin", "ymin", "xmax", "ymax")]
-    return number_by(rows, order, name).select(name, *df.columns)
+        content += [box[c] for c in ("xmin", "ymin", "xmax", "ymax")]
+    keyed = df.withColumns({"_key": F.xxhash64(*content), "_tie": F.xxhash64(*df.columns)})
+    part = F.least(F.floor((F.col("_key") / F.lit(2.0**64) + 0.5) * parts), F.lit(parts - 1)).cast("int")
+    dealt = keyed.withColumn("_part", part).repartition(parts, "_part")
+    at = F.row_number().over(W.partitionBy("_part").orderBy("_key", "_tie"))
+    rows = store(dealt.withColumn("_at", at).drop("_key", "_tie"), "numbered")
+    sizes = dict(rows.groupBy("_part").agg(F.count("*")).collect())  # one short row per part
+    starts = [0]
+    for p in range(parts - 1):
+        starts.append(starts[-1] + sizes.get(p, 0))
+    start = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")[F.col("_part")]
+    return rows.select((start + F.col("_at") - 1).alias(name), *df.columns)
 
 
 def running(df: DataFrame, group: list[str], order: list[str], sums: list[str] | None = None, place: str = "place") -> DataFrame:
