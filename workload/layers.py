@@ -31,9 +31,14 @@ def when(cond, a, b) -> Column:
     return F.when(cond, lit(a)).otherwise(lit(b))
 
 
+def tasks(spark: SparkSession) -> int:
+    """How many tasks make features of short rows: with a number of its own, adaptive execution doesn't merge them by their size."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def blocks(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey")
-    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment").repartition("c_custkey").select(
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment").repartition(tasks(spark), "c_custkey").select(
         k.alias("k"), F.floor(k / 25).alias("b"), (k % 5).cast("int").alias("r"), F.floor(k % 25 / 5).cast("int").alias("j"),
         "c_name", "c_mktsegment",
     )
@@ -126,7 +131,7 @@ def corridor_boxes(spark: SparkSession, sf: str) -> DataFrame:
 
 def points(spark: SparkSession, sf: str) -> DataFrame:
     """One point per order, in its customer's block, never on an edge: ``pt, b, x, y``."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey").repartition("o_orderkey").select(F.col("o_orderkey").alias("pt"), F.floor(F.col("o_custkey") / 25).alias("b"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey").repartition(tasks(spark), "o_orderkey").select(F.col("o_orderkey").alias("pt"), F.floor(F.col("o_custkey") / 25).alias("b"))
     return o.select(
         "pt", "b", ((F.col("pt") * 37) % 5120 / 64 + 1 / 128 + 96.0 * (F.col("b") % 8)).alias("x"),
         ((F.col("pt") * 101) % 1024 / 64 + 1 / 128 + 32.0 * F.floor(F.col("b") / 8)).alias("y"),
@@ -135,14 +140,14 @@ def points(spark: SparkSession, sf: str) -> DataFrame:
 
 def cells_nested(spark: SparkSession, sf: str) -> DataFrame:
     """One unit square per order on a grid 512 wide, owned by the order's priority: few, very large groups."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority").repartition("o_orderkey").select(F.col("o_orderkey").alias("cell_id"), F.col("o_orderpriority").alias("owner"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority").repartition(tasks(spark), "o_orderkey").select(F.col("o_orderkey").alias("cell_id"), F.col("o_orderpriority").alias("owner"))
     x, y = (F.col("cell_id") % 512).cast("double"), F.floor(F.col("cell_id") / 512).cast("double")
     return o.select("cell_id", "owner", F.array(F.array(N.box_ring(x, y, x + 1.0, y + 1.0))).alias("nested"))
 
 
 def brand_cells_nested(spark: SparkSession, sf: str, saws: bool = False) -> DataFrame:
     """One unit square per part on a grid 32 wide, owned by its brand; ``saws``: with zigzag sides."""
-    p = table(spark, sf, "part").select("p_partkey", "p_brand").repartition("p_partkey").select(F.col("p_partkey").alias("cell_id"), F.col("p_brand").alias("owner"))
+    p = table(spark, sf, "part").select("p_partkey", "p_brand").repartition(tasks(spark), "p_partkey").select(F.col("p_partkey").alias("cell_id"), F.col("p_brand").alias("owner"))
     x, y = (F.col("cell_id") % 32).cast("double"), F.floor(F.col("cell_id") / 32).cast("double")
     return p.select("cell_id", "owner", F.array(F.array(zigzag(x, y, x + 1.0, y + 1.0) if saws else N.box_ring(x, y, x + 1.0, y + 1.0))).alias("nested"))
 
@@ -157,7 +162,7 @@ def zigzag(x0, y0, x1, y1, depth: float = 1 / 64):
 
 def zigzag_boxes(spark: SparkSession, sf: str) -> DataFrame:
     """One box of 16 by 16 per customer on a grid 32 wide, with saws for sides: ``k, geom``."""
-    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).repartition("k")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).repartition(tasks(spark), "k")
     x, y = 16.0 * (F.col("k") % 32), 16.0 * F.floor(F.col("k") / 32)
     return c.select("k", G.encode(F.array(F.array(zigzag(x, y, x + 16.0, y + 16.0)))).alias("geom"))
 
@@ -170,7 +175,7 @@ def tracks(spark: SparkSession, sf: str) -> DataFrame:
 
 def lonlat(spark: SparkSession, sf: str) -> DataFrame:
     """One small box per customer in longitude and latitude: ``k, lon, lat, side``."""
-    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).repartition("k")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).repartition(tasks(spark), "k")
     return c.select(
         "k", (F.lit(114.0) + (F.col("k") * 37 % 2560) / 64).alias("lon"), (F.lit(-43.0) + (F.col("k") * 53 % 2048) / 64).alias("lat"),
         when(F.col("k") % 3 == 0, 0.5 ** 18, 0.0078125).alias("side"),

@@ -15,6 +15,7 @@ from coverlay.operators.grid import with_bounds
 from coverlay.operators.lines import label_chains, chain_lines
 from coverlay.operators.simplify import simplify_coverage, thin_by_zoom
 from coverlay.operators.spread import number_rows
+from coverlay.operators.tiles import subdivide
 from coverlay.sources.readers import detect_srid, fix_point_geometry
 from workload import layers as L
 from workload.registry import query, table
@@ -273,7 +274,7 @@ AMPLITUDE = 2.0 ** -12
 
 def bumpy_nested(spark, sf):
     """A 16 × 16 box per customer, a vertex at every unit, alternate ones pushed out by 1/4096."""
-    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).repartition("k")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).repartition(L.tasks(spark), "k")
     x, y = F.lit(32.0) * (F.col("k") % 32), F.lit(32.0) * F.floor(F.col("k") / 32)
     c = c.withColumns({"x": x, "y": y})
 
@@ -308,6 +309,12 @@ def ovl8(spark, sf):
     return d.groupBy("k").agg(F.round(F.sum(G.area("geom")), 9).alias("area"), (F.max(G.num_points("geom")) <= 16).alias("small"))
 
 
+@query("ovl8_tiles", "SELECT c_custkey AS k, 256.0 + 32 * pow(0.5, 12) AS area, TRUE AS small FROM customer")
+def ovl8_tiles(spark, sf):
+    d = subdivide(bumpy_nested(spark, sf).select("k", "nested"), ["k"], max_points=16, band=32.0)
+    return d.groupBy("k").agg(F.round(F.sum(N.area("nested")), 9).alias("area"), (F.max(N.num_points("nested")) <= 16).alias("small"))
+
+
 @query("ovl9", "SELECT c_custkey AS k, 5::INT AS points, 256::DOUBLE AS area FROM customer")
 def ovl9(spark, sf):
     d = bumpy(spark, sf).withColumn("geom", G.simplify("geom", 0.001))
