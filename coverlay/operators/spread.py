@@ -84,8 +84,9 @@ def running(df: DataFrame, group: list[str], order: list[str], sums: list[str] |
 def look_up(rows: DataFrame, keys: list[str], table: DataFrame, how: str = "inner") -> DataFrame:
     """``rows.join(table, keys, how)`` for a ``table`` with one row per key, whatever share of ``rows`` a key has.
 
-    The rows of a key are dealt over ``SALTS`` tasks, and the table's row is copied only to those that have some.
+    The rows of a key are dealt over ``SALTS`` tasks, and the table's row is copied only to those that have some. Neither is
+    left to the planner's sizes: rows made by ``explode`` look as few as those they come from, and would go through the driver.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    wanted = salted.select(*keys, "_salt").distinct().join(table, keys)
-    return salted.join(wanted, [*keys, "_salt"], how).drop("_salt")
+    wanted = salted.select(*keys, "_salt").distinct().join(table.hint("merge"), keys)
+    return salted.join(wanted.hint("merge"), [*keys, "_salt"], how).drop("_salt")
