@@ -11,9 +11,11 @@ from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
 from coverlay.operators import attributes as A
 from coverlay.operators import grid
+from coverlay.operators import points as P
 from coverlay.operators.grid import spatial_filter, spatial_join, suggest_cell_size
 from coverlay.operators.lines import chain_lines, label_chains, merge_lines, node_edges
 from coverlay.operators.points import nearest_outline, points_in_areas, points_in_keyed_areas
+from coverlay.operators.spread import look_up
 
 
 def boxes(n, seed, spread=40.0, big=0.1):
@@ -179,6 +181,33 @@ def test_fewer_features_than_asked_for(spark):
     assert {r.id for r in near.collect()} == {7, 8}
 
 
+def broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_rows_made_by_explode_are_not_sent_through_the_driver(spark, tmp_path):
+    """The planner sees a file of a few kB, and not the rows that come from each of its rows."""
+    spark.range(0, 300, 1, 2).write.parquet(str(tmp_path / "small"))
+    rows = spark.read.parquet(str(tmp_path / "small")).select("id", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("n"))
+    found = look_up(rows, ["id"], rows.groupBy("id").agg(F.max("n").alias("most")))
+    assert broadcasts(found) == 0
+    assert sorted(map(tuple, found.select("id", "n", "most").collect())) == [(i, n, 20) for i in range(300) for n in range(21)]
+
+
+def test_nearest_outline_of_a_crowd_in_one_cell(spark, monkeypatch):
+    """Points of a full cell are dealt over tasks, and only rows per cell are spread over the grids; repeated and null ids as ever."""
+    monkeypatch.setattr(P, "_CROWD", 20)
+    rng = random.Random(3)
+    layer = [(i, -3.0 + 2 * i, -1.0, -2.0 + 2 * i, 1.0) for i in range(5)] + [(9, 400.0, 0.0, 401.0, 1.0)]
+    pts = [(i, rng.uniform(-7, -4), rng.uniform(2, 3)) for i in range(90)] + [(90, 399.0, 0.5), (90, 398.0, 0.5), (None, 0.0, 0.0)]
+    d = spark.createDataFrame(pts, "pt int, x double, y double")
+    near = nearest_outline(d, frame(spark, layer), 8.0, "pt", "id")
+    assert broadcasts(near) == 1  # the crowded cells
+    got = {(r.pt, r.id): r.dist for r in near.collect()}
+    want = {(p, 0): math.hypot(max(-3.0 - x, 0), y - 1.0) for p, x, y in pts[:90]} | {(90, 9): 1.0}
+    assert got == pytest.approx(want)
+
+
 def test_lead_over_all_matches_window(spark):
     d = spark.range(0, 500).select(((F.col("id") * 7919) % 1009).alias("k"), F.col("id").alias("v"))
     want = d.select("k", F.lead("v").over(W.orderBy("k")).alias("n")).collect()
