@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,18 +43,29 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(over, schema)  # any column name will do
 
 
-def repeat_rows(docs: DataFrame, columns: list[Column], times: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
-    """``docs`` with each row as often as ``times`` says (a number for each row of a batch of ``columns``).
+def repeat_rows(docs: DataFrame, text_col: str, times: Callable[[pa.RecordBatch], np.ndarray], *columns: Column) -> DataFrame:
+    """``docs`` with each row as often as ``times`` says: a number for each row of a batch ``row, text as UTF-8 bytes, *columns``.
 
-    The rows travel as one struct beside ``columns``, so neither their number nor their names matter; no shuffle.
+    The rows travel as one struct beside ``columns``, so neither their number nor their names matter; no shuffle. Texts travel
+    once, inside their rows, and rows go back in steps of ``STEP_BYTES`` of text, so a task holds little more than what Spark sends.
     """
+    at = docs.columns.index(text_col) if text_col in docs.columns and docs.schema[text_col].dataType == T.StringType() else None
+    sent = columns if at is not None else (utf8(text_col), *columns)
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at = pa.array(np.repeat(np.arange(batch.num_rows), times(batch)))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(at)], names=["row"])
+    def over(batches):
+        for batch in batches:
+            row, *rest = batch.columns
+            if at is not None:
+                rest.insert(0, row.flatten()[at].cast(pa.binary()).fill_null(b""))
+            whole = pa.RecordBatch.from_arrays([row, *rest], names=[f"c{i}" for i in range(len(rest) + 1)])
+            for part in runs(pc.binary_length(rest[0]).to_pylist()):
+                step = whole.slice(part.start, part.stop - part.start)
+                if (n := times(step)).any():
+                    yield pa.RecordBatch.from_arrays([step.column(0).take(pa.array(np.repeat(np.arange(step.num_rows), n)))], names=["row"])
 
     schema = T.StructType([T.StructField("row", docs.schema)])
-    return map_batches(docs.select(F.struct("*"), *columns), one, schema).select("row.*")
+    rows = docs.select(F.struct("*"), *sent)
+    return rows.toDF(*[f"c{i}" for i in range(len(rows.columns))]).mapInArrow(over, schema).select("row.*")
 
 
 def record(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:

@@ -337,5 +337,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, how: Matching = Matching(), id_
             patterns = _patterns(block, how)
             return np.array([not holds_any(t.as_py().decode("utf-8", "replace"), patterns) for t in batch.column(1)], dtype=np.int64)
 
-        out = repeat_rows(out, [utf8(text_col)], keep)
+        out = repeat_rows(out, text_col, keep)
     return out

@@ -323,4 +323,4 @@ def resample(
         p = np.array([model.membership(t.as_py())[1] for t in batch.column(1)])
         return _copies(plan.of(p), batch.column(2).to_numpy())
 
-    return repeat_rows(docs, [utf8(text_col), u], times)
+    return repeat_rows(docs, text_col, times, u)

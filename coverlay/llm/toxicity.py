@@ -329,4 +329,4 @@ def clean(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
             ok += [model.score(m) < 0.5 for m in model.marginals([_words(t) for t in texts[part]])]
         return np.array(ok, dtype=np.int64)
 
-    return repeat_rows(docs, [utf8(text_col)], keep)
+    return repeat_rows(docs, text_col, keep)
