@@ -76,7 +76,8 @@ def running(df: DataFrame, group: list[str], order: list[str], sums: list[str] |
     before = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     so_far = {"_rows": "_rows", **{f"_all_{c}": f"_all_{c}" for c in sums}}
     parts = parts.select(*keys, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(n) for n, c in so_far.items()])
-    return scanned.join(parts, keys).select(
+    # a group has a row at least, so this may be as long as the table: not for the planner to send through the driver
+    return scanned.join(parts.hint("merge"), keys).select(
         *df.columns, (F.col("_place") + F.col("_rows")).alias(place), *[(F.col(f"_{c}") + F.col(f"_all_{c}")).alias(f"{c}_upto") for c in sums]
     )
 

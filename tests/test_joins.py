@@ -15,7 +15,7 @@ from coverlay.operators import points as P
 from coverlay.operators.grid import spatial_filter, spatial_join, suggest_cell_size
 from coverlay.operators.lines import chain_lines, label_chains, merge_lines, node_edges
 from coverlay.operators.points import nearest_outline, points_in_areas, points_in_keyed_areas
-from coverlay.operators.spread import look_up
+from coverlay.operators.spread import look_up, running
 
 
 def boxes(n, seed, spread=40.0, big=0.1):
@@ -194,6 +194,13 @@ def test_rows_made_by_explode_are_not_sent_through_the_driver(spark, tmp_path):
     assert sorted(map(tuple, found.select("id", "n", "most").collect())) == [(i, n, 20) for i in range(300) for n in range(21)]
 
 
+def test_running_sums_of_many_short_groups_are_not_sent_through_the_driver(spark):
+    rows = spark.range(0, 200).select((F.col("id") % 100).alias("g"), "id", F.lit(2).alias("v"))
+    found = running(rows, ["g"], ["id"], sums=["v"])
+    assert broadcasts(found) == 0
+    assert sorted(map(tuple, found.select("g", "place", "v_upto").collect())) == [(g, i, 2 * i) for g in range(100) for i in (1, 2)]
+
+
 def test_nearest_outline_of_a_crowd_in_one_cell(spark, monkeypatch):
     """Points of a full cell are dealt over tasks, and only rows per cell are spread over the grids; repeated and null ids as ever."""
     monkeypatch.setattr(P, "_CROWD", 20)
