@@ -44,6 +44,12 @@ def explode_cells(df: DataFrame, cell: float, prefix: str = "", cx: str = "cx",
     return cols.withColumn(cy, cell_range(ymin, ymax, cell))
 
 
+def corner_cell(df: DataFrame, cell: float, prefix: str = "", cx: str = "cx", cy: str = "cy") -> DataFrame:
+    """Every row once, in the grid cell of its box's lower-left corner. Rows with a NULL box stay out, as above."""
+    only = lambda v: F.explode(F.array_compact(F.array(cell_of(prefix + v, cell))))
+    return df.withColumn(cx, only("xmin")).withColumn(cy, only("ymin"))
+
+
 def cell_key(x, y, cell: float) -> Column:
     """Z-order key of a point's cell: near cells get near keys. Used to lay out and sort tables."""
     ix, iy = (cell_of(v, cell).cast("int") for v in (x, y))
@@ -136,6 +142,8 @@ def spatial_join(
     expand: float = 0.0,
     refine_above: int | None = None,
     small: str | None = None,
+    inside: str | None = None,
+    left_id: str | None = None,
 ) -> DataFrame:
     """Inner join of two layers on ``predicate(left_geom, right_geom)`` and equality of the ``on`` columns.
 
@@ -144,7 +152,13 @@ def spatial_join(
     ``refine_above`` counts rows per cell first and cuts cells that hold more than that many into smaller ones.
     ``small='left'`` or ``'right'`` names a side that is expected to be small and cheap to compute: it is measured,
     and broadcast if it fits, so that the other side is not shuffled. If it does not fit, the join is the usual one.
+    ``inside='left'`` or ``'right'`` names the side whose areas lie in their partners, as ``predicate`` demands: a pair then
+    meets in the cell of the inner box's lower-left corner, so that side is not spread over cells.
+    ``left_id`` names a column that identifies left rows: unless a side is broadcast, left rows are spread without their
+    geometry, which pairs whose boxes meet get back by that column. Left is then read twice; rows without an id stay out.
     """
+    if inside == "left" and expand:
+        raise ValueError("grown boxes don't lie in their partners")
     clash = (set(left.columns) & set(right.columns)) - set(on)
     if clash:
         raise ValueError(f"rename these columns on one side: {sorted(clash)}")
@@ -155,13 +169,15 @@ def spatial_join(
             {"_lxmin": F.col("_lxmin") - e, "_lymin": F.col("_lymin") - e}
             | {"_lxmax": F.col("_lxmax") + e, "_lymax": F.col("_lymax") + e}
         )
-    l = explode_cells(l, cell, "_l", "_cx", "_cy")
-    r = explode_cells(r, cell, "_r", "_cx", "_cy")
+    l = (corner_cell if inside == "left" else explode_cells)(l, cell, "_l", "_cx", "_cy")
+    r = (corner_cell if inside == "right" else explode_cells)(r, cell, "_r", "_cx", "_cy")
     px, py = F.greatest("_lxmin", "_rxmin"), F.greatest("_lymin", "_rymin")
     if small == "left" and _fits(l):
-        l, refine_above = F.broadcast(l), None
+        l, refine_above, left_id = F.broadcast(l), None, None
     elif small == "right" and _fits(r):
-        r, refine_above = F.broadcast(r), None
+        r, refine_above, left_id = F.broadcast(r), None, None
+    if left_id:
+        l = l.drop(left_geom)
     if refine_above:
         l, r, keys, size = _refine(l, r, on, cell, refine_above)
         # a corner on the clamped edge of a cell belongs to the base cell it falls in
@@ -173,6 +189,10 @@ def spatial_join(
         (F.col("_lxmin") <= F.col("_rxmax")) & (F.col("_rxmin") <= F.col("_lxmax"))
         & (F.col("_lymin") <= F.col("_rymax")) & (F.col("_rymin") <= F.col("_lymax"))
     )
+    if inside:
+        a, b = ("_r", "_l") if inside == "left" else ("_l", "_r")
+        meet = meet & (F.col(a + "xmin") <= F.col(b + "xmin")) & (F.col(b + "xmax") <= F.col(a + "xmax"))
+        meet = meet & (F.col(a + "ymin") <= F.col(b + "ymin")) & (F.col(b + "ymax") <= F.col(a + "ymax"))
     for key, home in at.items():
         meet = meet & (F.col(key) == home)
     # coalesce keeps Catalyst from inferring "box edge is not NULL" filters; those would be pushed down to the
@@ -180,6 +200,8 @@ def spatial_join(
     pairs = l.join(r, keys).where(F.coalesce(meet, F.lit(False)))
     if where is not None:
         pairs = pairs.where(where)
+    if left_id:
+        pairs = pairs.join(left.select(left_id, left_geom), left_id)
     if predicate is not None:
         pairs = pairs.where(predicate(F.col(left_geom), F.col(right_geom)))
     return pairs.select(*left.columns, *[c for c in right.columns if c not in on])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from coverlay.functions import geometry as G
 from coverlay.operators.dissolve import collect, dissolve_local, dissolve_parts
-from coverlay.operators.grid import spatial_filter, spatial_join
+from coverlay.operators.grid import spatial_join
 from coverlay.operators.spread import number_rows
 from coverlay.operators.stage import cut
 from coverlay.plans.config import CleanConfig
@@ -21,7 +21,10 @@ def full_resolution(pieces: DataFrame, bdys: DataFrame, cfg: CleanConfig) -> Dat
 
     ``area`` is declared and left empty, as consumers of the layer expect. Attributes join without geometry.
     """
-    kept = pieces.where(F.col("match_type") != SPLIT).select("locality_pid", G.make_valid("geom").alias("geom"))
+    # buffers cost much CPU per byte: a number of tasks of its own, so adaptive execution doesn't merge them by their size
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pieces.where(F.col("match_type") != SPLIT).select("locality_pid", "geom").repartition(tasks, "locality_pid")
+    kept = dealt.withColumn("geom", G.make_valid("geom"))
     united = dissolve_local(kept, ["locality_pid"])
     opened = G.make_valid(G.open_close("geom", *cfg.final_open))
     parts = united.select("locality_pid", F.explode(G.polygons(opened)).alias("geom"))
@@ -51,7 +54,7 @@ def _filled(df: DataFrame, keys: list[str], cfg: CleanConfig) -> DataFrame:
 def cut_out(df: DataFrame, key: str, masks: DataFrame, cfg: CleanConfig, on: list[str] = ()) -> DataFrame:
     """Subtract from every area the masks that meet it (and agree on ``on``); areas without a mask are unchanged."""
     m = masks.select(*on, F.col("geom").alias("geom2"))
-    near = spatial_join(df.select(key, *on, "geom"), m, G.intersects, cfg.cell, on=on, refine_above=cfg.hot_cell)
+    near = spatial_join(df.select(key, *on, "geom"), m, G.intersects, cfg.cell, on=on, refine_above=cfg.hot_cell, left_id=key)
     hole = near.groupBy(key).agg(G.union_agg(G.near_part("geom2", "geom")).alias("_mask"))
     left = df.join(hole, key, "left")
     return left.withColumn(
@@ -74,18 +77,23 @@ def postcode_areas(display: DataFrame, cfg: CleanConfig) -> tuple[DataFrame, Dat
     """
     pc = number_rows(_filled(display.where(coded(cfg)), ["postcode", "state"], cfg), "area_id")
     inner = pc.select(F.col("postcode").alias("postcode2"), F.col("geom").alias("geom2"))
+    # polygons of a whole code are long beside a cell: only boxes are spread over cells, and inner areas lie in one each
     islands = spatial_join(
-        pc.select("postcode", "geom"), inner, G.contains, cfg.cell, where=F.col("postcode") != F.col("postcode2")
+        pc.select("area_id", "postcode", "geom"), inner, G.contains, cfg.cell, where=F.col("postcode") != F.col("postcode2"),
+        inside="right", left_id="area_id",
     ).select("postcode", F.col("geom2").alias("geom"))
     pc = cut(cut_out(pc, "area_id", islands, cfg, on=["postcode"]))
     none = number_rows(_filled(display.where(uncoded(cfg)), ["state"], cfg), "area_id")
     within = spatial_join(
-        pc.select("area_id", "geom"), none.select(F.col("geom").alias("geom2")), G.within, cfg.cell
-    ).select("area_id").distinct()
-    none = cut_out(none, "area_id", pc.join(within, "area_id", "left_semi"), cfg)
-    none = spatial_filter(
-        none, pc.select(F.col("geom").alias("geom2")), lambda a, b: G.contains(b, a), cfg.cell, "area_id", keep=False
-    )
+        none.select("area_id", "geom"), pc.select(F.col("area_id").alias("inner_id"), F.col("geom").alias("geom2")), G.contains, cfg.cell,
+        inside="right", left_id="area_id",
+    ).dropDuplicates(["inner_id"]).select(F.col("geom2").alias("geom"))
+    none = cut(cut_out(none, "area_id", within, cfg))
+    surrounded = spatial_join(
+        pc.select("area_id", "geom"), none.select(F.col("area_id").alias("inner_id"), F.col("geom").alias("geom2")), G.contains, cfg.cell,
+        inside="right", left_id="area_id",
+    ).select(F.col("inner_id").alias("area_id")).distinct()
+    none = none.join(surrounded, "area_id", "left_anti")
     return pc, none
 
 

@@ -62,7 +62,7 @@ def gap_pairs(gaps: DataFrame, pieces: DataFrame, cfg: CleanConfig, gap_id: str
     other = pieces.select(F.col("loc_state").alias("state"), "locality_pid", F.col("geom").alias("geom2"))
     pad = 0.0 if cfg.contact == "overlap" else cfg.contact_tolerance
     return spatial_join(gaps.select(gap_id, "state", "geom"), other, _meets(cfg), cfg.cell, on=["state"], expand=pad,
-                        refine_above=cfg.hot_cell, small="left")
+                        refine_above=cfg.hot_cell, small="left", left_id=gap_id)
 
 
 def gap_localities(gaps: DataFrame, pieces: DataFrame, cfg: CleanConfig) -> DataFrame:
@@ -126,7 +126,9 @@ def split_gaps(gaps: DataFrame, lines: DataFrame, cfg: CleanConfig) -> DataFrame
         grown, lines.select("state", "line"), G.intersects, cfg.cell, on=["state"], right_geom="line", small="right"
     )
     blades = hits.groupBy("hole_id").agg(G.union_agg("line").alias("_blades"))
-    cut_up = grown.join(blades, "hole_id").withColumn("_faces", G.split_polygon("geom", "_blades"))
+    # cuts cost much CPU per byte: a number of tasks of its own, so adaptive execution doesn't merge them by their size
+    tasks = int(gaps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut_up = grown.repartition(tasks, "hole_id").join(blades, "hole_id").withColumn("_faces", G.split_polygon("geom", "_blades"))
     out = cut_up.select(
         "hole_id", "state", G.num_parts("_blades").alias("blades"), F.size("_faces").alias("pieces"),
         F.explode("_faces").alias("geom"),
