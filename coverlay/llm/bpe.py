@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -42,12 +44,20 @@ class WordEncoder:
         self.size = self._tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self._names = _byte_names()
+        self._code = next(c for c in "HIL" if array(c).itemsize == self.dtype.itemsize)
+        self._model = self._tokenizer.model
         self._young: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array(self._code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
     def _part(self, part: str) -> list[int]:
         named = part if part.isascii() else "".join(map(self._names.__getitem__, part.encode()))
-        return [t.id for t in self._tokenizer.model.tokenize(named)]
+        return [t.id for t in self._model.tokenize(named)]
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
@@ -60,7 +70,7 @@ class WordEncoder:
                 ids += self._part(tail)
         else:
             ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return self._bytes(ids)
 
     def encode(self, text: bytes) -> bytes:
         """Ids of one UTF-8 text as little-endian bytes of ``dtype``."""
