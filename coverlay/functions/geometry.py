@@ -303,6 +303,16 @@ def subdivide(geom, max_points: int = 512) -> Column:
     return _call("cv_subdivide", geom, F.lit(max_points))
 
 
+def cut_rows(rows, max_points: int, deepest: int) -> Column:
+    """Pieces ``tile, nested`` of an array of nested polygons, as :func:`~coverlay.operators.tiles.subdivide` makes them."""
+    return _call("cv_cut_rows", rows, F.lit(max_points), F.lit(deepest))
+
+
+def cut_tile(edges, tile, left, low, right, high, max_points: int, deepest: int) -> Column:
+    """Pieces ``tile, nested`` of one tile, given as an array of its edges ``ring, x1, y1, x2, y2``, its number and its box."""
+    return _call("cv_cut_tile", edges, tile, left, low, right, high, F.lit(max_points), F.lit(deepest))
+
+
 def union_agg(geom) -> Column:
     return _call("cv_union_agg", geom)
 

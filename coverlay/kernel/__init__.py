@@ -30,6 +30,7 @@ BOUNDS = T.StructType([T.StructField(c, T.DoubleType()) for c in ("xmin", "ymin"
 NESTED = T.ArrayType(T.ArrayType(T.ArrayType(POINT)))
 _BIN, _DBL, _INT, _BOOL, _STR = T.BinaryType(), T.DoubleType(), T.IntegerType(), T.BooleanType(), T.StringType()
 _BINS = T.ArrayType(_BIN)
+_PIECES = T.ArrayType(T.StructType([T.StructField("tile", T.LongType()), T.StructField("nested", NESTED)]))
 
 #: SQL name -> (Java class, result type)
 FUNCTIONS = {
@@ -80,6 +81,8 @@ FUNCTIONS = {
     "cv_parts": ("Parts", _BINS),
     "cv_polygons": ("Polygons", _BINS),
     "cv_subdivide": ("Subdivide", _BINS),
+    "cv_cut_rows": ("CutRows", _PIECES),
+    "cv_cut_tile": ("CutTile", _PIECES),
 }
 AGGREGATES = {"cv_union_agg": "UnionAgg", "cv_collect_agg": "CollectAgg"}
 

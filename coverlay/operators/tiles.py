@@ -1,18 +1,21 @@
-"""Polygons cut into pieces of few vertices, as a table of edges: no task holds an outline whole.
+"""Polygons cut into pieces of few vertices, as a table of edges: no task holds a long outline whole.
 
 A polygon is its directed edges, inside on the left. Tiles with too many are halved across their longer side, all of them
 in one pass: edges are cut at the middle line, and where the line runs inside the polygon both halves get it as a border.
-What remains in a tile is linked into polygons by half-edges.
+What remains in a tile is linked into polygons by half-edges. Passes end where a tile is short enough for one task (``GATHERED``):
+the kernel halves and links it in place by the same rules and gives the same pieces.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coverlay.functions import geometry as G
 from coverlay.functions import nested as N
+from coverlay.kernel import NESTED, KernelUnavailable, enable
 from coverlay.operators.dissolve import outline_edges
 from coverlay.operators.halfedges import directed, oriented, outlines
 from coverlay.operators.spread import look_up, running
@@ -22,43 +25,106 @@ _ENDS = ["x1", "y1", "x2", "y2"]
 _TILE = ["tile", "left", "low", "right", "high"]
 #: Halvings after which a tile stays as it is: its number is a 64-bit integer. 2^60 tiles are finer than doubles are.
 DEEPEST = 60
+#: Edges of a tile, or points of a key, that one task takes at once. 0: all is done by the table, as it is without the kernel.
+GATHERED = 16_384
 
 
 def subdivide(df: DataFrame, keys: Sequence[str], nested: str = "nested", max_points: int = 512, band: float | None = None) -> DataFrame:
     """``keys, tile, nested``: the polygons of each key cut into polygons of at most ``max_points`` points, holes included.
 
-    See :func:`subdivide_edges`. Parts of one key must not overlap, whether they come in one row or in several. Null and empty
-    geometries have no pieces; columns besides ``keys`` are left out.
+    See :func:`subdivide_edges`, to which only keys of more than ``GATHERED`` points go. Others are cut where their row is; only
+    if they have several are rows brought together. Parts of one key must not overlap, whether they come in one row or in
+    several. Null and empty geometries have no pieces; columns besides ``keys`` are left out. ``df`` is read twice.
     """
+    _checked(max_points)
     keys = list(keys)
-    segments = N.to_segments(df.select(*keys, oriented(nested).alias("_rings")), "_rings", keys)
-    ring = F.xxhash64("part", "ring")
-    return subdivide_edges(segments.select(*keys, ring.alias("ring"), *_ENDS), keys, max_points, band)
+    rows = df.select(*keys, F.col(nested).alias("_nested")).where(" AND ".join(f"`{k}` IS NOT NULL" for k in [*keys, "_nested"]))
+    if not _gathered(df.sparkSession):
+        return subdivide_edges(_segments(rows, keys), keys, max_points, band)
+    finite = F.forall(F.flatten(N.rings("_nested")), lambda p: _finite(p["x"], p["y"]))
+    points = F.when(finite, N.num_points("_nested"))  # null: something is missing, which the table leaves out as it comes to it
+    per = rows.groupBy(*keys).agg(F.count("*").alias("_rows"), F.count(points).alias("_whole"), F.sum(points).alias("_points"))
+    short = (F.col("_whole") == F.col("_rows")) & (F.greatest("_points", "_rows") <= GATHERED)
+    others = store(per.select(*keys, (~short).alias("_long"), "_rows").where("_long OR _rows > 1").drop("_rows"), "keys-apart")
+    plain = F.col("_nested") if rows.schema["_nested"].dataType.simpleString() == NESTED.simpleString() else N.map_points("_nested", lambda p: N.xy(p["x"], p["y"]))
+    cut = lambda d, nesteds: _pieces(d, keys, G.cut_rows(nesteds, max_points, DEEPEST))
+    found = cut(rows.join(others, keys, "left_anti"), F.array(plain))
+    if others.isEmpty():
+        return found
+    several = rows.join(others.where("NOT _long"), keys, "left_semi").groupBy(*keys).agg(F.collect_list(plain).alias("_rows"))
+    found = found.unionByName(cut(several, F.col("_rows")))
+    long = others.where("_long")
+    if long.isEmpty():
+        return found
+    return found.unionByName(subdivide_edges(_segments(rows.join(long, keys, "left_semi"), keys), keys, max_points, band))
 
 
 def subdivide_edges(edges: DataFrame, keys: Sequence[str], max_points: int = 512, band: float | None = None) -> DataFrame:
     """The same for outlines given as ``keys, ring, x1, y1, x2, y2``, inside on the left, of any length.
 
-    Every pass halves all tiles that are too full, so there are about log2(points / max_points) passes, and only rows of
-    such tiles are written again. Where that many edges meet in one place a tile stays too full: it is halved ``DEEPEST``
-    times, then linked as it is. ``keys`` must not be null; edges without length are left out, those that are there twice in opposite directions cancel.
+    Every pass halves all tiles of more than ``GATHERED`` edges, so there are about log2(edges / GATHERED) passes, and only rows of
+    such tiles are written again. The others are gathered, halved further and linked by one task each. Where that many
+    edges meet in one place a tile stays too full: it is halved ``DEEPEST`` times, then linked as it is, by the table. ``keys`` must
+    not be null; edges without length are left out, those that are there twice in opposite directions cancel.
     """
-    if max_points < 8:
-        raise ValueError("a tile needs 8 points at least")
+    _checked(max_points)
     keys = list(keys)
-    rows = store(_first_tiles(edges.select(*keys, "ring", *_ENDS).where("x1 <> x2 OR y1 <> y2"), keys), "tiles")
-    done = None
+    most = _gathered(edges.sparkSession)
+    ends = edges.select(*keys, F.col("ring").cast("long").alias("ring"), *_ENDS).where("x1 <> x2 OR y1 <> y2")
+    rows = store(_first_tiles(ends, keys), "tiles")
+    short, done = [], []
     for _ in range(DEEPEST):
-        rows = store(look_up(rows, [*keys, "tile"], _full(rows, keys, max_points)), "tiles")
-        ready, rest = rows.where("NOT _full").drop("_full"), rows.where("_full").drop("_full")
-        done = ready if done is None else done.unionByName(ready)
+        rows = store(look_up(rows, [*keys, "tile"], _ways(rows, keys, max_points, most)), "tiles")
+        short.append(rows.where("_gather").drop("_gather", "_full"))
+        done.append(rows.where("NOT _gather AND NOT _full").drop("_gather", "_full"))
+        rest = rows.where("NOT _gather AND _full").drop("_gather", "_full")
         if rest.isEmpty():
             break
         rows = store(_halves(rest, keys), "tiles")
     else:
-        done = done.unionByName(rows)
-    inner = outline_edges(done, [*keys, "tile"])
-    return outlines(directed(inner, [*keys, "tile"]), [*keys, "tile"], band).drop("face")
+        done.append(rows)
+    by_table = lambda d: outlines(directed(outline_edges(d, [*keys, "tile"]), [*keys, "tile"]), [*keys, "tile"], band).drop("face")
+    if not most:
+        return by_table(_all(done))
+    as_double = lambda names: [F.col(c).cast("double").alias(c) for c in names]
+    gathered = _all(short).groupBy(*keys, *_TILE).agg(F.collect_list(F.struct("ring", *as_double(_ENDS))).alias("_edges"))
+    found = _pieces(gathered, keys, G.cut_tile("_edges", "tile", *as_double(_TILE[1:]), max_points, DEEPEST))
+    left = _all(done)
+    return found if left.isEmpty() else found.unionByName(by_table(left))
+
+
+def _checked(max_points: int) -> None:
+    if max_points < 8:
+        raise ValueError("a tile needs 8 points at least")
+
+
+def _gathered(spark: SparkSession) -> int:
+    """``GATHERED``, or 0 in a session that can't load the kernel."""
+    try:
+        return GATHERED if GATHERED and enable(spark) else 0
+    except KernelUnavailable:
+        return 0
+
+
+def _finite(*values: Column) -> Column:
+    """Are these numbers that a box can have? Not if one is null, NaN or infinite."""
+    return F.coalesce(F.greatest(*[F.coalesce(F.abs(v), F.lit(float("inf"))) for v in values]) < float("inf"), F.lit(False))
+
+
+def _segments(rows: DataFrame, keys: list[str]) -> DataFrame:
+    segments = N.to_segments(rows.select(*keys, oriented("_nested").alias("_rings")), "_rings", keys)
+    return segments.select(*keys, F.xxhash64("part", "ring").alias("ring"), *_ENDS)
+
+
+def _pieces(rows: DataFrame, keys: list[str], cut: Column) -> DataFrame:
+    return rows.select(*keys, F.explode(cut).alias("_piece")).select(*keys, "_piece.tile", "_piece.nested")
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for d in frames[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def _first_tiles(edges: DataFrame, keys: list[str]) -> DataFrame:
@@ -70,14 +136,17 @@ def _first_tiles(edges: DataFrame, keys: list[str]) -> DataFrame:
     return look_up(edges, keys, box.withColumn("tile", F.lit(1).cast("long"))).select(*keys, "ring", *_ENDS, *_TILE)
 
 
-def _full(rows: DataFrame, keys: list[str], max_points: int) -> DataFrame:
-    """``keys, tile, _full``. A polygon of a tile has its edges' starts and one closing point per ring, whose ends are either
-    pieces of outlines and borders (one ring) or whole outlines; so edges and distinct outlines together bound its points."""
-    per = rows.groupBy(*keys, "tile", "ring").agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in _TILE[1:]])
-    sums = per.groupBy(*keys, "tile").agg((F.sum("_n") + F.count("*")).alias("_n"), *[F.first(c).alias(c) for c in _TILE[1:]])
+def _ways(rows: DataFrame, keys: list[str], max_points: int, most: int) -> DataFrame:
+    """``keys, tile, _gather, _full``: tiles for one task, of at most ``most`` edges, and tiles to be halved. A polygon of a tile has
+    its edges' starts and one closing point per ring, whose ends are either pieces of outlines and borders (one ring) or whole
+    outlines; so edges and distinct outlines together bound its points."""
+    box = [F.first(c).alias(c) for c in _TILE[1:]]
+    per = rows.groupBy(*keys, "tile", "ring").agg(F.count("*").alias("_n"), F.min(_finite(*[F.col(c) for c in _ENDS])).alias("_finite"), *box)
+    sums = per.groupBy(*keys, "tile").agg(F.sum("_n").alias("_edges"), (F.sum("_n") + F.count("*")).alias("_n"), F.min("_finite").alias("_finite"), *box)
     middle, across = _middle()
     low, high = F.when(across, F.col("left")).otherwise(F.col("low")), F.when(across, F.col("right")).otherwise(F.col("high"))
-    return sums.select(*keys, "tile", ((F.col("_n") > max_points) & (low < middle) & (middle < high)).alias("_full"))
+    gather = F.col("_finite") & (F.col("_edges") <= most)
+    return sums.select(*keys, "tile", gather.alias("_gather"), ((F.col("_n") > max_points) & (low < middle) & (middle < high)).alias("_full"))
 
 
 def _middle() -> tuple[Column, Column]:

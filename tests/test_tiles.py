@@ -76,3 +76,45 @@ def test_edges_that_meet_in_one_place_end(spark, monkeypatch):
     fan = spark.createDataFrame([(1, spikes)], f"k int, nested {NESTED}")
     got = T.subdivide(fan, ["k"], max_points=16)
     assert got.agg(F.sum(N.area("nested"))).first()[0] == pytest.approx(12 / 32)
+
+
+def by_way(spark, monkeypatch, given, most, gathered):
+    """All pieces, point by point, where a task may take ``gathered`` edges at once."""
+    monkeypatch.setattr(T, "GATHERED", gathered)
+    got = T.subdivide(given, ["k"], max_points=most)
+    return sorted((r.k, r.tile, [[[(p.x, p.y) for p in ring] for ring in part] for part in r.nested]) for r in got.collect())
+
+
+@pytest.mark.parametrize("most", [24])
+def test_one_task_and_the_table_make_the_same_pieces(spark, monkeypatch, most):
+    """Short outlines in their rows, longer ones by the table down to tiles of 40 edges, and all of it by the table."""
+    reversed_star = star(60, 3.0, -2.0, seed=5)[::-1]
+    rows = [*CASES.items(), (9, [[reversed_star]]), (10, [[star(50, 1e6, -1e6, seed=7)]]), (11, [[star(12)]]), (11, [[star(30, 40.0, 40.0, seed=3)], [box(80.0, 0.0)]])]
+    # the same outline twice cancels, rows without a key or a shape are left out, a missing number goes to the table
+    rows += [(12, [[box(0.0, -0.0)]]), (12, [[box(0.0, 0.0)]]), (None, [[box(0.0, 0.0)]]), (13, None), (14, [[box(0.0, 0.0)]]), (14, None), (15, [])]
+    given = spark.createDataFrame(rows, f"k int, nested {NESTED}")
+    table = by_way(spark, monkeypatch, given, most, 0)
+    assert {k for k, _, _ in table} == {*range(1, 12), 14}
+    assert by_way(spark, monkeypatch, given, most, 1 << 14) == table
+    assert by_way(spark, monkeypatch, given, most, 40) == table
+
+
+def test_edges_as_a_table_make_the_same_pieces(spark, monkeypatch):
+    nested = spark.createDataFrame([(1, [[star(200, seed=11), box(-0.5, -0.5)]])], f"k int, nested {NESTED}")
+    edges = N.to_segments(nested.select("k", T.oriented("nested").alias("n")), "n", ["k"]).select("k", "ring", "x1", "y1", "x2", "y2")
+    for gathered in (0, 50):
+        monkeypatch.setattr(T, "GATHERED", gathered)
+        got = sorted((r.tile, str(r.nested)) for r in T.subdivide_edges(edges, ["k"], 32).collect())
+        want = want if gathered else got
+        assert got == want and len(got) > 8
+
+
+def test_short_outlines_are_not_written_as_edges(spark, monkeypatch):
+    """What failed by disk: all that a table of short outlines leaves on disk is the list of keys that need more."""
+    written = []
+    keep = T.store
+    monkeypatch.setattr(T, "store", lambda df, name="stage": written.append((name, (out := keep(df, name)).count())) or out)
+    given = spark.range(200).select(F.col("id").alias("k"), F.array(F.array(F.array(*[N.xy(F.col("id") + x, F.lit(y)) for x, y in star(64)]))).alias("nested"))
+    pieces = T.subdivide(given, ["k"], max_points=16)
+    assert pieces.select("k").distinct().count() == 200 and pieces.agg(F.max(N.num_points("nested"))).first()[0] <= 16
+    assert written == [("keys-apart", 0)]
